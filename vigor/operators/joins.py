@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +20,31 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      materialise: bool = True) -> DataFrame:
+def materialise(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet to ``path`` (a shared folder) and read it back.
+
+    One computation, lineage cut at the table, and columnar re-reads with
+    pruning/pushdown for every consumer -- the Spark form of a CTAS table.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The count is taken on a checkpointed copy, so the side is computed once,
-    its size is known exactly, and the join that follows reads the copy.
-    Above the bound the caller gets a plain DataFrame and Spark plans a
-    shuffle join (AQE may still convert it at run time from measured sizes).
+    The side is persisted (memory, spilling to disk; lost blocks are
+    recomputed from lineage) and counted, so its size is known exactly and
+    the join that follows reuses the cached rows instead of recomputing them.
+    Above the bound the cache is dropped and the caller gets a plain
+    DataFrame: Spark plans a shuffle join (AQE may still convert it at run
+    time from measured sizes, and splits skewed partitions).
     """
-    small = checkpointed(df) if materialise else df
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
+    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if small.count() <= max_rows:   # one job: computes, caches and measures the side
+        return F.broadcast(small)
+    small.unpersist()
+    return df
 
 
 def scalar_broadcast(one_row: DataFrame) -> DataFrame:

@@ -30,14 +30,24 @@ def model_columns() -> list[str]:
     return [c if c != "position" else "position_code" for c in INJURY_FEATURES] + ["acwr"]
 
 
+def injury_split(mart_pc: DataFrame, season: str = TARGET_SEASON, test_fraction: float = 0.2,
+                 seed: int = 42) -> DataFrame:
+    return M.hash_split(injury_features(mart_pc, season), ["session_id"], test_fraction, seed)
+
+
+def fit_injury_model(split: DataFrame, seed: int = 42, **gbt_params):
+    """Boosted trees on the training part, positives weighted by neg/pos (ML-4, ML-6)."""
+    train = split.filter(~F.col("is_test"))
+    train = M.with_pos_weight(train, INJURY_LABEL, train)
+    return M.fit_gbt(train, model_columns(), INJURY_LABEL, weight="weight", seed=seed, **gbt_params)
+
+
 def injury_scoring(mart_pc: DataFrame, season: str = TARGET_SEASON, test_fraction: float = 0.2,
-                   seed: int = 42, **gbt_params) -> DataFrame:
+                   seed: int = 42, model=None, **gbt_params) -> DataFrame:
     """PL-12 / ML-15: fit on the hashed 80 %, score every row, alert + intensity band."""
     feats = model_columns()
-    df = M.hash_split(injury_features(mart_pc, season), ["session_id"], test_fraction, seed)
-    train = df.filter(~F.col("is_test"))
-    train = M.with_pos_weight(train, INJURY_LABEL, train)
-    model = M.fit_gbt(train, feats, INJURY_LABEL, weight="weight", seed=seed, **gbt_params)
+    df = injury_split(mart_pc, season, test_fraction, seed)
+    model = model or fit_injury_model(df, seed, **gbt_params)
     scored = M.positive_probability(model, df, feats, "p")
     p = X.round_half_up("p", 4)
     return scored.select(F.col("player_id").cast("string").alias("player_id"), "session_id", "season",
@@ -57,13 +67,21 @@ def player_profiles(mart_player: DataFrame, season: str = TARGET_SEASON, min_min
         X.round_half_up(F.avg("minutes_played"), 2).alias("minutes_played"))
 
 
+def scaled_profiles(mart_player: DataFrame, season: str = TARGET_SEASON) -> DataFrame:
+    prof = player_profiles(mart_player, season).na.fill(0.0, subset=PROFILE_FEATURES)
+    return M.standardize(prof, PROFILE_FEATURES, suffix="_z")
+
+
+def fit_profile_model(z: DataFrame, k: int = 3, n_init: int = 10, seed: int = 42):
+    return M.kmeans_best_of(z, [c + "_z" for c in PROFILE_FEATURES], k=k, n_init=n_init, seed=seed)
+
+
 def player_clusters(mart_player: DataFrame, season: str = TARGET_SEASON, k: int = 3, n_init: int = 10,
-                    seed: int = 42) -> DataFrame:
+                    seed: int = 42, model=None) -> DataFrame:
     """PL-13 / ML-16: profile -> fill 0 -> z-score -> best-of-10 k-means -> ranked names."""
-    prof = player_profiles(mart_player, season).na.fill(0.0, subset=PROFILE_FEATURES)
-    z = M.standardize(prof, PROFILE_FEATURES, suffix="_z")
+    z = scaled_profiles(mart_player, season)
     zcols = [c + "_z" for c in PROFILE_FEATURES]
-    model = M.kmeans_best_of(z, zcols, k=k, n_init=n_init, seed=seed)
+    model = model or fit_profile_model(z, k, n_init, seed)
     clustered = M.assign_clusters(model, z, zcols, "profil").drop(*zcols)
     named = M.name_clusters(clustered, "profil", "performance_score_match")
     return named.select("season", F.col("player_id").cast("string").alias("player_id"), "player_name", "position",

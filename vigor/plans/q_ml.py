@@ -64,6 +64,20 @@ def _(c):
     return M.with_balanced_weight(s, "injury_risk")
 
 
+_MODELS: dict = {}
+
+
+def _model(c, kind: str):
+    """One fitted model per (application, input folder, kind), shared by the queries that use it."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir, kind)
+    if key not in _MODELS:
+        if kind == "gbt":
+            _MODELS[key] = MJ.fit_injury_model(MJ.injury_split(c.mart_pc))
+        else:
+            _MODELS[key] = MJ.fit_profile_model(MJ.scaled_profiles(c.mart_player))
+    return _MODELS[key]
+
+
 def _injury_train_test(c):
     df = M.hash_split(MJ.injury_features(c.mart_pc), ["session_id"], 0.2, 42)
     return df.filter(~F.col("is_test")), df.filter(F.col("is_test"))
@@ -71,10 +85,8 @@ def _injury_train_test(c):
 
 @q("ml_6_boosted_trees")
 def _(c):
-    train, test = _injury_train_test(c)
-    train = M.with_pos_weight(train, "injury_risk", train)
-    model = M.fit_gbt(train, MJ.model_columns(), "injury_risk", weight="weight")
-    return M.positive_probability(model, test, MJ.model_columns(), "injury_probability") \
+    _, test = _injury_train_test(c)
+    return M.positive_probability(_model(c, "gbt"), test, MJ.model_columns(), "injury_probability") \
             .select("session_id", "injury_risk", "injury_probability")
 
 
@@ -89,7 +101,7 @@ def _(c):
 
 @q("ml_8_positive_probability")
 def _(c):
-    return MJ.injury_scoring(c.mart_pc).select("session_id", "injury_probability")
+    return MJ.injury_scoring(c.mart_pc, model=_model(c, "gbt")).select("session_id", "injury_probability")
 
 
 _SCORE_SQL = stage_ctes("int_fatigue_index", "stg_training_sessions") + """,
@@ -138,7 +150,7 @@ def _(c):
 
 @q("ml_11_kmeans_restarts")
 def _(c):
-    return MJ.player_clusters(c.mart_player).select("player_id", "profil")
+    return MJ.player_clusters(c.mart_player, model=_model(c, "kmeans")).select("player_id", "profil")
 
 
 @q("ml_12_elbow_curve")
@@ -186,19 +198,19 @@ def _(c):
 
 @q("ml_15_injury_scoring_table")
 def _(c):
-    return MJ.injury_scoring(c.mart_pc)
+    return MJ.injury_scoring(c.mart_pc, model=_model(c, "gbt"))
 
 
 @q("ml_16_player_cluster_table")
 def _(c):
-    return MJ.player_clusters(c.mart_player)
+    return MJ.player_clusters(c.mart_player, model=_model(c, "kmeans"))
 
 
 @q("pl_12_injury_prevention")
 def _(c):
     from ..operators import sinks as S
     path = c.scratch("ml_injury_predictions")
-    S.write_table(MJ.injury_scoring(c.mart_pc), path)     # truncate + replace
+    S.write_table(MJ.injury_scoring(c.mart_pc, model=_model(c, "gbt")), path)     # truncate + replace
     return S.read_table(c.spark, path)
 
 
@@ -206,7 +218,7 @@ def _(c):
 def _(c):
     from ..operators import sinks as S
     path = c.scratch("ml_player_clusters")
-    S.write_table(MJ.player_clusters(c.mart_player), path)
+    S.write_table(MJ.player_clusters(c.mart_player, model=_model(c, "kmeans")), path)
     return S.read_table(c.spark, path)
 
 

@@ -63,27 +63,38 @@ class Ctx:
     @cached_property
     def stg_players(self): return P.stg_players(self.players)
 
+    def table(self, name: str, df: DataFrame) -> DataFrame:
+        """Materialise a model the pipeline stores as a table (dims, fatigue index, marts)."""
+        from ..operators.joins import materialise
+        return materialise(df, self.scratch(name))
+
     @cached_property
-    def dim_players(self): return P.dim_players(self.stg_players)
+    def dim_players(self): return self.table("dim_players", P.dim_players(self.stg_players))
 
     @cached_property
-    def stg_stats(self): return P.stg_player_stats(self.stats)
+    def stg_stats(self):
+        # read by the fatigue index and the player mart: materialised once per run
+        return self.table("stg_player_stats", P.stg_player_stats(self.stats))
 
     @cached_property
     def stg_games(self): return P.stg_games(self.games, self.boxscores)
 
     @cached_property
-    def dim_calendar(self): return P.dim_calendar(self.stg_games)
+    def dim_calendar(self): return self.table("dim_calendar", P.dim_calendar(self.stg_games))
 
     @cached_property
-    def stg_sessions(self): return P.stg_training_sessions(self.sessions, self.dim_players)
+    def stg_sessions(self):
+        # read by three models (fatigue index, player mart, condition mart): materialised once per run
+        return self.table("stg_training_sessions", P.stg_training_sessions(self.sessions, self.dim_players))
 
     @cached_property
-    def fatigue(self): return P.int_fatigue_index(self.stg_sessions, self.stg_stats, self.stg_players)
+    def fatigue(self):
+        return self.table("int_fatigue_index", P.int_fatigue_index(self.stg_sessions, self.stg_stats, self.stg_players))
 
     @cached_property
     def mart_player(self):
-        return P.mart_player(self.stg_stats, self.dim_calendar, self.dim_players, self.stg_sessions)
+        return self.table("mart_player", P.mart_player(self.stg_stats, self.dim_calendar, self.dim_players,
+                                                       self.stg_sessions))
 
     @cached_property
     def mart_game(self): return P.mart_game(self.stg_games, self.dim_calendar, self.fatigue)
