@@ -76,3 +76,20 @@ def test_pii_projection_by_tags(spark):
     assert dropped.columns == ["id", "pos"]
     hashed = Q.protect_pii(tagged, mode="hash", max_sensitivity="low").first()
     assert hashed.h == 180.0 and len(hashed.name) == 64
+
+
+def test_stream_upsert_available_now(spark, tmp_path):
+    from vigor.plans import pipelines as P
+    from vigor.sources import adapter
+    from vigor.streaming import run_available_now
+    from conftest import SF_SMALL
+    landing = str(tmp_path / "landing")
+    games = adapter.raw_table(spark, SF_SMALL, "team_games_dataset")
+    games.write.parquet(landing)
+    stream = spark.readStream.schema(games.schema).parquet(landing)
+    path = str(tmp_path / "games")
+    run_available_now(stream, path, ["game_id"], str(tmp_path / "ckpt"),
+                      transform=lambda b: P.dim_calendar(P.stg_games(b, adapter.raw_table(spark, SF_SMALL, "team_boxscores"))))
+    got = S.read_table(spark, path)
+    want = P.dim_calendar(P.stg_games(games, adapter.raw_table(spark, SF_SMALL, "team_boxscores")))
+    assert _rows(got) == _rows(want)
