@@ -23,24 +23,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col_, exact_sum, round_half_up
-from .joins import bounded_broadcast, null_safe_keys
+from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, small_or_none
 
 # --------------------------------------------------------------------------- WIN-1/2
 
 
-def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None,
+                   split_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row per ``keys`` (WIN-1, WIN-2).
 
     The survivor is the first row in ascending order of ``order`` (default:
     every non-key column, in schema order, NULLs first), which is a total
-    order, so the result is deterministic.  Implemented as ``min(struct)``:
-    a partial aggregate with map-side combine.
+    order, so the result is deterministic.
+
+    Plan: a hash aggregate over the key columns finds the keys that repeat.
+    When that set is proven small (``split_rows``) it is broadcast: rows with
+    a unique key pass straight through an anti join (no sort, no shuffle of
+    the wide rows) and only the repeated keys go through ``min(struct)`` -- a
+    partial aggregate with map-side combine, so even a key holding a third of
+    all rows collapses before its shuffle.  Above the bound every row takes
+    the ``min(struct)`` path.
     """
     order = order or [c for c in df.columns if c not in keys]
+    if split_rows is not None:
+        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(*keys)
+        dup = small_or_none(dup, split_rows)
+        if dup is not None:
+            d = F.broadcast(dup.select(*[F.col(k).alias(f"__d_{k}") for k in keys]))
+            cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(d[f"__d_{k}"]) for k in keys])
+            unique_rows = df.join(d, cond, "left_anti")
+            repeated = df.join(d, cond, "left_semi")
+            return unique_rows.unionByName(_min_struct_dedup(repeated, keys, order))
+    return _min_struct_dedup(df, keys, order)
+
+
+def _min_struct_dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
+    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
     out = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in order + rest]).select(*df.columns)
+    return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in order + rest]) \
+              .select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def latest_per_group(df: DataFrame, keys: list[str], order_desc: list[str]) -> DataFrame:

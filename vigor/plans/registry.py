@@ -20,6 +20,7 @@ from ..sources import adapter
 from . import pipelines as P
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
+_RUN_TABLES: dict[tuple[str, str, str], str] = {}
 
 
 def q(key: str, oracle: str | None = None):
@@ -61,46 +62,60 @@ class Ctx:
     def sessions(self): return self.raw("team_training_sessions")
 
     @cached_property
-    def stg_players(self): return P.stg_players(self.players)
+    def stg_players(self): return self.table("stg_players", lambda: P.stg_players(self.players))
 
-    def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Materialise a model the pipeline stores as a table (dims, fatigue index, marts)."""
+    def table(self, name: str, build) -> DataFrame:
+        """A model the pipeline stores as a table (staging shared by several models, dims, fatigue, marts).
+
+        Built and written once per run -- one Spark application over one input
+        folder -- then re-read by every later consumer, as a scheduled daily run
+        builds each model once.  ``build`` is only called on the first use.
+        """
         from ..operators.joins import materialise
-        return materialise(df, self.scratch(name))
+        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+        path = _RUN_TABLES.get(key)
+        if path is None:
+            path = self.scratch(name)
+            materialise(build(), path)
+            _RUN_TABLES[key] = path
+        return self.spark.read.parquet(path)
 
     @cached_property
-    def dim_players(self): return self.table("dim_players", P.dim_players(self.stg_players))
+    def dim_players(self): return self.table("dim_players", lambda: P.dim_players(self.stg_players))
 
     @cached_property
     def stg_stats(self):
         # read by the fatigue index and the player mart: materialised once per run
-        return self.table("stg_player_stats", P.stg_player_stats(self.stats))
+        return self.table("stg_player_stats", lambda: P.stg_player_stats(self.stats))
 
     @cached_property
     def stg_games(self): return P.stg_games(self.games, self.boxscores)
 
     @cached_property
-    def dim_calendar(self): return self.table("dim_calendar", P.dim_calendar(self.stg_games))
+    def dim_calendar(self): return self.table("dim_calendar", lambda: P.dim_calendar(self.stg_games))
 
     @cached_property
     def stg_sessions(self):
         # read by three models (fatigue index, player mart, condition mart): materialised once per run
-        return self.table("stg_training_sessions", P.stg_training_sessions(self.sessions, self.dim_players))
+        return self.table("stg_training_sessions", lambda: P.stg_training_sessions(self.sessions, self.dim_players))
 
     @cached_property
     def fatigue(self):
-        return self.table("int_fatigue_index", P.int_fatigue_index(self.stg_sessions, self.stg_stats, self.stg_players))
+        return self.table("int_fatigue_index",
+                          lambda: P.int_fatigue_index(self.stg_sessions, self.stg_stats, self.stg_players))
 
     @cached_property
     def mart_player(self):
-        return self.table("mart_player", P.mart_player(self.stg_stats, self.dim_calendar, self.dim_players,
-                                                       self.stg_sessions))
+        return self.table("mart_player", lambda: P.mart_player(self.stg_stats, self.dim_calendar, self.dim_players,
+                                                               self.stg_sessions))
 
     @cached_property
-    def mart_game(self): return P.mart_game(self.stg_games, self.dim_calendar, self.fatigue)
+    def mart_game(self): return self.table("mart_game", lambda: P.mart_game(self.stg_games, self.dim_calendar, self.fatigue))
 
     @cached_property
-    def mart_pc(self): return P.mart_physical_condition(self.fatigue, self.stg_sessions, self.mart_player)
+    def mart_pc(self):
+        return self.table("mart_physical_condition",
+                          lambda: P.mart_physical_condition(self.fatigue, self.stg_sessions, self.mart_player))
 
 
 def raw_sql(select: str, *names: str) -> str:
