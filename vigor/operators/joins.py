@@ -27,7 +27,7 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     pruning/pushdown for every consumer -- the Spark form of a CTAS table.
     """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)   # schema known: no footer-inference job
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -130,16 +130,22 @@ DEFAULT_THRESHOLDS = (0.2, 0.3, 0.4, 0.5)
 
 
 def confusion_by_threshold(df: DataFrame, label: str, score: str, thresholds=DEFAULT_THRESHOLDS) -> DataFrame:
-    """TP/FP/FN/TN per threshold: one pass, thresholds as a broadcast k-row table."""
-    spark = df.sparkSession
-    th = F.broadcast(spark.range(len(thresholds)).select(
-        F.element_at(F.array(*[F.lit(float(t)) for t in thresholds]), (F.col("id") + 1).cast("int")).alias("threshold")))
-    j = df.select(label, score).crossJoin(th)
-    pred = F.col(score) >= F.col("threshold")
+    """TP/FP/FN/TN per threshold in ONE aggregate pass (4 counts per threshold), unpivoted.
+
+    No row is replicated per threshold: the thresholds are literals inside
+    the aggregate, so the work is one scan regardless of how many are swept.
+    """
     y = F.col(label) == 1
-    return j.groupBy("threshold").agg(
-        F.count_if(pred & y).alias("tp"), F.count_if(pred & ~y).alias("fp"),
-        F.count_if(~pred & y).alias("fn"), F.count_if(~pred & ~y).alias("tn"))
+    s = F.col(score)
+    aggs = []
+    for i, t in enumerate(thresholds):
+        pred = s >= F.lit(float(t))
+        aggs += [F.count_if(pred & y).alias(f"tp{i}"), F.count_if(pred & ~y).alias(f"fp{i}"),
+                 F.count_if(~pred & y).alias(f"fn{i}"), F.count_if(~pred & ~y).alias(f"tn{i}")]
+    row = df.agg(*aggs)
+    items = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.col(f"tp{i}").alias("tp"), F.col(f"fp{i}").alias("fp"),
+                               F.col(f"fn{i}").alias("fn"), F.col(f"tn{i}").alias("tn")) for i, t in enumerate(thresholds)])
+    return row.select(F.explode(items).alias("c")).select("c.*")
 
 
 def _ratio(a, b):

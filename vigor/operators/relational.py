@@ -241,7 +241,8 @@ def collect_members(df: DataFrame, keys: list[str], member: str, alias: str = "m
     """Sorted list of members per group (AGG-11).
 
     For per-cluster rosters (a handful of keys, one entry per entity); a
-    group's list is bounded by its distinct members, never by raw row count.
+    group's list is bounded by its distinct members, never by raw row count
+    (``collect_set`` de-duplicates map-side before the shuffle).
     """
     return df.groupBy(*keys).agg(F.sort_array(F.collect_set(member)).alias(alias))
 
@@ -269,7 +270,13 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Same as :func:`describe_columns` with exact (linearly interpolated) quartiles."""
+    """Same as :func:`describe_columns` with exact (linearly interpolated) quartiles, as pandas.
+
+    Spark's exact ``percentile`` keeps a value -> count map per column, so its
+    memory is bounded by the number of *distinct* values, not rows: right
+    for counts, scores and 2-decimal minutes (the exploration columns); for
+    continuous high-cardinality columns use :func:`describe_columns`.
+    """
     exprs = []
     for c in columns:
         x = F.col(c).cast("double")

@@ -20,7 +20,7 @@ from ..sources import adapter
 from . import pipelines as P
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-_RUN_TABLES: dict[tuple[str, str, str], str] = {}
+_RUN_TABLES: dict[tuple[str, str, str], tuple] = {}
 
 
 def q(key: str, oracle: str | None = None):
@@ -73,12 +73,12 @@ class Ctx:
         """
         from ..operators.joins import materialise
         key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
-        path = _RUN_TABLES.get(key)
-        if path is None:
+        hit = _RUN_TABLES.get(key)
+        if hit is None:
             path = self.scratch(name)
-            materialise(build(), path)
-            _RUN_TABLES[key] = path
-        return self.spark.read.parquet(path)
+            df = materialise(build(), path)
+            _RUN_TABLES[key] = hit = (path, df.schema)
+        return self.spark.read.schema(hit[1]).parquet(hit[0])
 
     @cached_property
     def dim_players(self): return self.table("dim_players", lambda: P.dim_players(self.stg_players))
