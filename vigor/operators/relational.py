@@ -120,12 +120,18 @@ def impute_group_mean(df: DataFrame, segment: list[str], columns: dict[str, str]
 # --------------------------------------------------------------------------- WIN-6
 
 
-def with_global_max(df: DataFrame, column: str, alias: str) -> DataFrame:
+def with_global_max(df: DataFrame, column: str, alias: str, persist_input: bool = False) -> DataFrame:
     """``max(c) over ()`` beside every row (WIN-6) as scalar aggregate + broadcast.
 
     An empty ``over()`` plans ``Exchange SinglePartition``: every row goes
     through one task.  A one-row aggregate broadcast to all tasks does not.
+    With ``persist_input`` the input (typically a large join) is persisted
+    (memory and disk, recomputable from lineage) so the aggregate and the rows
+    read one computation instead of two.
     """
+    if persist_input:
+        from pyspark import StorageLevel
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     one = df.agg(F.max(column).alias(alias))
     return df.crossJoin(F.broadcast(one))
 

@@ -190,7 +190,7 @@ def int_fatigue_index(sessions: DataFrame, stats: DataFrame, players: DataFrame,
     j = (sessions.join(spi, "player_id")
          .join(tps, (F.col("player_id") == F.col("__tp")) & (F.col("next_match_id") == F.col("__tg")))
          .filter(F.col("minutes_played") >= min_minutes))
-    j = R.with_global_max(j, "duration_min", "__max_duration")
+    j = R.with_global_max(j, "duration_min", "__max_duration", persist_input=True)
     hr = X.heart_rate_norm("heart_rate", "__age")
     fat = X.ordinal_level_norm("fatigue_level")
     rec = X.recovery_score("days_before_match", "recovery_time_hours")
