@@ -56,3 +56,32 @@ def test_name_clusters_by_rank(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0), (2, 5.0), (3, 0.0)], "c int, perf double")
     got = dict((r.c, r.profil_label) for r in M.name_clusters(df, "c", "perf").collect())
     assert got == {1: "Stars", 2: "Lieutenants", 0: "Rotation", 3: None}
+
+
+def test_injury_scoring_invariants(spark):
+    """Every eligible session scored once, probabilities in [0, 1], alert <=> reduction > 0.
+
+    A 5-tree model keeps the test fast; the pipeline default stays 200 trees.
+    """
+    from conftest import SF_SMALL
+    from vigor.plans import ml_jobs as MJ
+    from vigor.plans.registry import Ctx
+    c = Ctx(spark, SF_SMALL)
+    out = MJ.injury_scoring(c.mart_pc, maxIter=5).cache()
+    eligible = MJ.injury_features(c.mart_pc)
+    assert out.count() == eligible.count() == out.select("session_id").distinct().count()
+    bad = out.filter((F.col("injury_probability") < 0) | (F.col("injury_probability") > 1)
+                     | ((F.col("injury_alert") == 1) != (F.col("training_intensity_reduction") > 0)))
+    assert bad.count() == 0
+    assert dict(out.dtypes)["player_id"] == "string"
+
+
+def test_player_clusters_labels_follow_rank(spark):
+    from conftest import SF_SMALL
+    from vigor.plans import ml_jobs as MJ
+    from vigor.plans.registry import Ctx
+    c = Ctx(spark, SF_SMALL)
+    out = MJ.player_clusters(c.mart_player, n_init=2)
+    means = {r.profil_label: r.m for r in out.groupBy("profil_label").agg(F.avg("performance_score_match").alias("m")).collect()}
+    order = [lbl for lbl in M.PROFILE_LABELS if lbl in means]
+    assert [means[lbl] for lbl in order] == sorted(means.values(), reverse=True)
