@@ -111,12 +111,17 @@ def top_by_profile(game_rows: DataFrame, n: int = 5, min_minutes: float = 15.0)
                                               F.col("player_id")], n)
 
 
-def game_grain_clusters(mart_player: DataFrame, season: str = TARGET_SEASON, k: int = 3, n_init: int = 10,
-                        seed: int = 42, min_minutes: float = 5.0) -> DataFrame:
-    """Exploration grain: one row per player-game, clustered on z-scored stats (T34)."""
+def game_grain_features(mart_player: DataFrame, season: str = TARGET_SEASON, min_minutes: float = 5.0) -> DataFrame:
+    """Exploration grain: one row per player-game, complete rows only, z-scored stats (T34)."""
     df = mart_player.filter((F.col("minutes_played") >= min_minutes) & (F.col("season") == season)) \
                     .na.drop(subset=PROFILE_FEATURES)
-    z = M.standardize(df, PROFILE_FEATURES, suffix="_z")
+    return M.standardize(df, PROFILE_FEATURES, suffix="_z")
+
+
+def game_grain_clusters(mart_player: DataFrame, season: str = TARGET_SEASON, k: int = 3, n_init: int = 1,
+                        seed: int = 42, min_minutes: float = 5.0) -> DataFrame:
+    """k-means at the exploration grain; one k-means++ run, as the exploration notebook does."""
+    z = game_grain_features(mart_player, season, min_minutes)
     zcols = [c + "_z" for c in PROFILE_FEATURES]
     model = M.kmeans_best_of(z, zcols, k=k, n_init=n_init, seed=seed)
     return M.assign_clusters(model, z, zcols, "profil").drop(*zcols)

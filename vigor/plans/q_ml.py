@@ -155,9 +155,9 @@ def _(c):
 
 @q("ml_12_elbow_curve")
 def _(c):
-    prof = MJ.player_profiles(c.mart_player).na.fill(0.0, subset=_PF)
-    z = M.standardize(prof, _PF, suffix="_z")
-    return M.elbow(z, [f + "_z" for f in _PF], k_max=10, n_init=3)
+    """Inertia for k = 1..10 on the exploration grain (one row per player-game), one k-means++ run per k."""
+    z = MJ.game_grain_features(c.mart_player)
+    return M.elbow(z, [f + "_z" for f in _PF], k_max=10, n_init=1)
 
 
 _GIVEN_CLUSTER = "CASE start_position WHEN 'Bench' THEN 0 WHEN 'F' THEN 1 ELSE 2 END"
@@ -224,5 +224,5 @@ def _(c):
 
 @q("pl_14_exploration_report")
 def _(c):
-    rows = MJ.game_grain_clusters(c.mart_player, n_init=3)
+    rows = MJ.game_grain_clusters(c.mart_player)
     return MJ.top_by_profile(rows, 5).select("profil", "game_id", "player_id", "player_name", "performance_score_match")
