@@ -49,7 +49,11 @@ def test_kmeans_same_seed_same_clusters(spark):
     df = spark.createDataFrame(rows, "x double, y double")
     m1 = M.kmeans_best_of(df, ["x", "y"], k=3, n_init=2)
     m2 = M.kmeans_best_of(df, ["x", "y"], k=3, n_init=2)
-    assert m1.summary.trainingCost == m2.summary.trainingCost
+    # same seed -> same assignment; the cost may differ in the last bits (sum order across tasks)
+    a = [r.profil for r in M.assign_clusters(m1, df, ["x", "y"]).collect()]
+    b = [r.profil for r in M.assign_clusters(m2, df, ["x", "y"]).collect()]
+    assert a == b
+    assert abs(m1.summary.trainingCost - m2.summary.trainingCost) < 1e-9
 
 
 def test_name_clusters_by_rank(spark):

@@ -36,15 +36,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     The side is persisted (memory, spilling to disk; lost blocks are
     recomputed from lineage) and counted, so its size is known exactly and
     the join that follows reuses the cached rows instead of recomputing them.
-    Above the bound the cache is dropped and the caller gets a plain
-    DataFrame: Spark plans a shuffle join (AQE may still convert it at run
-    time from measured sizes, and splits skewed partitions).
+    Above the bound the caller gets the same persisted rows without the hint:
+    Spark plans a shuffle join (AQE may still convert it at run time from
+    measured sizes, and splits skewed partitions), and the side is not
+    computed a second time.
     """
     small = df.persist(StorageLevel.MEMORY_AND_DISK)
     if small.count() <= max_rows:   # one job: computes, caches and measures the side
         return F.broadcast(small)
-    small.unpersist()
-    return df
+    return small
 
 
 def small_or_none(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
