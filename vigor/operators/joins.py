@@ -20,13 +20,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialise(df: DataFrame, path: str) -> DataFrame:
+def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet to ``path`` (a shared folder) and read it back.
 
     One computation, lineage cut at the table, and columnar re-reads with
     pruning/pushdown for every consumer -- the Spark form of a CTAS table.
+    With ``partition_by`` (e.g. ``season``) a filter on that column reads
+    only the matching folders (partition pruning).
     """
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)   # schema known: no footer-inference job
 
 

@@ -142,10 +142,10 @@ def create_if_absent(df: DataFrame, path: str) -> str | None:
     return None if table_versions(df.sparkSession, path) else write_table(df, path)
 
 
-def upsert_table(source: DataFrame, path: str, keys: list[str]) -> str:
+def upsert_table(source: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> str:
     """Incremental model with a unique key (SNK-4/5): merge into the current version."""
     current = read_table(source.sparkSession, path)
-    return write_table(upsert(current, source, keys), path)
+    return write_table(upsert(current, source, keys), path, partition_by)
 
 
 def snapshot_table(current: DataFrame, path: str, key: str, check_cols: list[str], as_of) -> str:

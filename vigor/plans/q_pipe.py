@@ -124,8 +124,9 @@ def _(c):
 @q("pl_8_mart_player", pipeline_sql("mart_player"))
 def _(c):
     path = c.scratch("mart_player")
-    S.upsert_table(c.mart_player, path, ["game_id", "player_id"])   # first run creates the table (T20)
-    S.upsert_table(c.mart_player, path, ["game_id", "player_id"])   # a re-run is idempotent
+    # first run creates the table (T20), a re-run is idempotent; partitioned by season for pruning
+    S.upsert_table(c.mart_player, path, ["game_id", "player_id"], partition_by=["season"])
+    S.upsert_table(c.mart_player, path, ["game_id", "player_id"], partition_by=["season"])
     return S.read_table(c.spark, path)
 
 
@@ -139,7 +140,7 @@ def _(c):
 @q("pl_10_mart_physical_condition", pipeline_sql("mart_physical_condition"))
 def _(c):
     path = c.scratch("mart_physical_condition")
-    S.upsert_table(c.mart_pc, path, ["session_id"])
+    S.upsert_table(c.mart_pc, path, ["session_id"], partition_by=["season"])
     return S.read_table(c.spark, path)
 
 

@@ -64,7 +64,7 @@ class Ctx:
     @cached_property
     def stg_players(self): return self.table("stg_players", lambda: P.stg_players(self.players))
 
-    def table(self, name: str, build) -> DataFrame:
+    def table(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
         """A model the pipeline stores as a table (staging shared by several models, dims, fatigue, marts).
 
         Built and written once per run -- one Spark application over one input
@@ -76,7 +76,7 @@ class Ctx:
         hit = _RUN_TABLES.get(key)
         if hit is None:
             path = self.scratch(name)
-            df = materialise(build(), path)
+            df = materialise(build(), path, partition_by)
             _RUN_TABLES[key] = hit = (path, df.schema)
         return self.spark.read.schema(hit[1]).parquet(hit[0])
 
@@ -107,7 +107,7 @@ class Ctx:
     @cached_property
     def mart_player(self):
         return self.table("mart_player", lambda: P.mart_player(self.stg_stats, self.dim_calendar, self.dim_players,
-                                                               self.stg_sessions))
+                                                               self.stg_sessions), partition_by=["season"])
 
     @cached_property
     def mart_game(self): return self.table("mart_game", lambda: P.mart_game(self.stg_games, self.dim_calendar, self.fatigue))
@@ -115,7 +115,8 @@ class Ctx:
     @cached_property
     def mart_pc(self):
         return self.table("mart_physical_condition",
-                          lambda: P.mart_physical_condition(self.fatigue, self.stg_sessions, self.mart_player))
+                          lambda: P.mart_physical_condition(self.fatigue, self.stg_sessions, self.mart_player),
+                          partition_by=["season"])
 
 
 def raw_sql(select: str, *names: str) -> str:
