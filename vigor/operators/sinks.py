@@ -73,11 +73,11 @@ def scd2_snapshot(history: DataFrame | None, current: DataFrame, key: str, check
     ``scd_id = md5(key || '|' || as_of)``.  One full outer join of the open
     versions with the current rows on the key; closed versions pass through.
     """
-    ts = F.lit(as_of).cast("timestamp")
+    ts = F.lit(as_of).cast("timestamp_ntz")   # run time as wall-clock: independent of the session zone
     cols = current.columns
 
     def opened(df):
-        return df.select(*cols, ts.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
+        return df.select(*cols, ts.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"),
                          F.md5(F.concat_ws("|", F.col(key).cast("string"), ts.cast("string"))).alias("scd_id"))
 
     if history is None:
