@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,7 @@ def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = Non
     """
     order = order or [c for c in df.columns if c not in keys]
     if split_rows is not None:
+        df = _persisted(df)     # read three times: key counts, unique rows, repeated rows
         dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(*keys)
         dup = small_or_none(dup, split_rows)
         if dup is not None:
@@ -98,13 +100,11 @@ def impute_group_mean(df: DataFrame, segment: list[str], columns: dict[str, str]
     segment count is proven small) joined back null-safely.
     """
     source = source or {}
-    tmp = df
+    tmp = _persisted(df)        # read twice: segment means, then the rows
     avg_cols = {}
-    for out, keep in columns.items():
-        src = source.get(out, F.col(keep))
-        name = f"__src_{out}"
-        tmp = tmp.withColumn(name, src.cast("double"))
-        avg_cols[out] = name
+    tmp = tmp.select("*", *[source.get(out, F.col(keep)).cast("double").alias(f"__src_{out}")
+                            for out, keep in columns.items()])
+    avg_cols = {out: f"__src_{out}" for out in columns}
     means = tmp.groupBy(*segment).agg(*[F.avg(n).alias(f"__mean_{o}") for o, n in avg_cols.items()])
     means = bounded_broadcast(means, broadcast_rows)
     means = means.select(*[F.col(s).alias(f"__seg_{s}") for s in segment],
@@ -154,6 +154,7 @@ def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tupl
     (entity, day).  Sums are exact decimals, so results do not depend on the
     partitioning.
     """
+    df = _persisted(df)         # read twice: per-day aggregates, then the rows
     day = F.col(day_col)
     aggs = []
     for kind, value, _ in specs:
@@ -189,6 +190,15 @@ def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tupl
     return base.join(stats, [entity, "__day"], "left").drop("__day")
 
 
+def _persisted(df: DataFrame) -> DataFrame:
+    """Persist an input that a multi-pass operator reads more than once.
+
+    Memory first, spilling to disk; a lost block is recomputed from lineage.
+    The upstream (often a shuffle join) then runs once instead of per pass.
+    """
+    return df if df.storageLevel.useMemory or df.storageLevel.useDisk else df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _spec_key(kind: str, value) -> str:
     return f"{kind}_{value if isinstance(value, str) else abs(hash(str(value)))}"
 
