@@ -69,3 +69,13 @@ def test_incremental_ingest_anti_join(spark):
     incoming = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
     loaded = spark.createDataFrame([(1, "a"), (3, "old")], "k long, v string")
     assert _rows(I.new_rows(incoming, loaded, ["k"])) == [(2, "b")]
+
+
+def test_latest_per_group_split_and_fallback_agree_on_hot_key(spark):
+    df = _hot(spark).repartition(5)
+    split = R.latest_per_group(df, ["k"], ["d", "s"])
+    rest = [c for c in df.columns if c not in ("k", "d", "s")]
+    fallback = R.dedup_keep_one(df, ["k"], ["d", "s"] + rest, split_rows=-1, largest=True)
+    assert _rows(split) == _rows(fallback)
+    hot = [r for r in split.collect() if r.k == 0][0]
+    assert hot.d == max(r.d for r in df.filter("k = 0").collect())

@@ -30,12 +30,13 @@ from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, sm
 
 
 def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None,
-                   split_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   split_rows: int | None = DEFAULT_BROADCAST_ROWS, largest: bool = False) -> DataFrame:
     """One row per ``keys`` (WIN-1, WIN-2).
 
     The survivor is the first row in ascending order of ``order`` (default:
     every non-key column, in schema order, NULLs first), which is a total
-    order, so the result is deterministic.
+    order, so the result is deterministic.  ``largest`` keeps the last row of
+    that order instead (``max(struct)``).
 
     Plan: a hash aggregate over the key columns finds the keys that repeat.
     When that set is proven small (``split_rows``) it is broadcast: rows with
@@ -55,14 +56,14 @@ def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = Non
             cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(d[f"__d_{k}"]) for k in keys])
             unique_rows = df.join(d, cond, "left_anti")
             repeated = df.join(d, cond, "left_semi")
-            return unique_rows.unionByName(_min_struct_dedup(repeated, keys, order))
-    return _min_struct_dedup(df, keys, order)
+            return unique_rows.unionByName(_min_struct_dedup(repeated, keys, order, largest))
+    return _min_struct_dedup(df, keys, order, largest)
 
 
-def _min_struct_dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _min_struct_dedup(df: DataFrame, keys: list[str], order: list[str], largest: bool = False) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
-    out = df.groupBy(*keys).agg(F.min(packed).alias("__row"))
+    out = df.groupBy(*keys).agg((F.max if largest else F.min)(packed).alias("__row"))
     return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in order + rest]) \
               .select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -71,13 +72,12 @@ def latest_per_group(df: DataFrame, keys: list[str], order_desc: list[str]) -> D
     """The row with the greatest ``order_desc`` tuple per ``keys`` (WIN-3).
 
     ``max(struct(order..., rest...))``: ties on the order columns are broken by
-    the remaining columns, so the pick is total.  Partial aggregation keeps
-    hot keys cheap.
+    the remaining columns, so the pick is total.  Same plan as
+    :func:`dedup_keep_one`: groups with a single row skip the aggregate, the
+    repeated ones get a partial aggregate that keeps hot keys cheap.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_desc]
-    packed = F.struct(*[F.col(c) for c in order_desc + rest])
-    out = df.groupBy(*keys).agg(F.max(packed).alias("__row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col(f"__row.{c}").alias(c) for c in order_desc + rest]).select(*df.columns)
+    return dedup_keep_one(df, keys, order_desc + rest, largest=True)
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
