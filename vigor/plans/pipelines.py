@@ -255,13 +255,22 @@ def mart_game(games: DataFrame, calendar: DataFrame, fatigue: DataFrame) -> Data
     """Per game: team totals + mean residual fatigue of the players (PL-9).
 
     The calendar contributes no column: an existence (semi) join (T21).  A
-    match whose sessions span two seasons yields two team rows; one survives
-    by the total order of the remaining columns (T5).
+    match whose sessions span two seasons has two team-fatigue rows; the
+    model keeps one per game by the total order of its columns (T5), with
+    the fatigue value first.  Because the game rows and the fatigue rows
+    multiply as a cross product per game, that pick factorises: the smallest
+    rounded team fatigue per game (NULL first), then one game row per game.
+    So the fatigue is reduced to one row per game *before* the join, and no
+    wide joined row is ever de-duplicated.
     """
-    ft = team_fatigue(fatigue).select(F.col("next_match_id").alias("game_id"),
-                                      X.round_half_up("fi_team", 2).alias("fi_before_match_team"))
-    g = exists_in(games, calendar.select("game_id"), "game_id").join(ft, "game_id")
-    return R.dedup_keep_one(g.select(*MART_GAME_COLUMNS), ["game_id"])
+    fi = X.round_half_up("fi_team", 2)
+    ft = (team_fatigue(fatigue)
+          .groupBy(F.col("next_match_id").alias("game_id"))
+          .agg(F.when(F.count_if(fi.isNull()) > 0, F.lit(None)).otherwise(F.min(fi)).cast("double")
+               .alias("fi_before_match_team")))
+    g = R.dedup_keep_one(exists_in(games, calendar.select("game_id"), "game_id")
+                         .select(*[c for c in MART_GAME_COLUMNS if c != "fi_before_match_team"]), ["game_id"])
+    return g.join(ft, "game_id").select(*MART_GAME_COLUMNS)
 
 
 # ---------------------------------------------------------------- PL-10 mart_physical_condition
