@@ -9,6 +9,23 @@ from pyspark.sql import functions as F
 # A side is broadcast only when it is *proven* to hold at most this many rows.
 DEFAULT_BROADCAST_ROWS = 200_000
 
+# DataFrames this library persisted, so they can be released without touching
+# caches the caller made in the same session.
+_PERSISTED: list[DataFrame] = []
+
+
+def persist_tracked(df: DataFrame) -> DataFrame:
+    """Persist (memory, spilling to disk; lost blocks are recomputed from lineage) and remember it."""
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_persisted() -> None:
+    """Unpersist everything :func:`persist_tracked` persisted (e.g. once a stage is written)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
@@ -46,7 +63,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     measured sizes, and splits skewed partitions), and the side is not
     computed a second time.
     """
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    small = persist_tracked(df)
     if small.count() <= max_rows:   # one job: computes, caches and measures the side
         return F.broadcast(small)
     return small
@@ -54,7 +71,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def small_or_none(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
     """The persisted ``df`` if it is proven to hold at most ``max_rows`` rows, else None."""
-    small = df.persist(StorageLevel.MEMORY_AND_DISK)
+    small = persist_tracked(df)
     if small.count() <= max_rows:
         return small
     small.unpersist()

@@ -19,12 +19,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col_, exact_sum, round_half_up
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, small_or_none
+from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, persist_tracked, small_or_none
 
 # --------------------------------------------------------------------------- WIN-1/2
 
@@ -130,8 +129,7 @@ def with_global_max(df: DataFrame, column: str, alias: str, persist_input: bool
     read one computation instead of two.
     """
     if persist_input:
-        from pyspark import StorageLevel
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = _persisted(df)
     one = df.agg(F.max(column).alias(alias))
     return df.crossJoin(F.broadcast(one))
 
@@ -196,7 +194,7 @@ def _persisted(df: DataFrame) -> DataFrame:
     Memory first, spilling to disk; a lost block is recomputed from lineage.
     The upstream (often a shuffle join) then runs once instead of per pass.
     """
-    return df if df.storageLevel.useMemory or df.storageLevel.useDisk else df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df if df.storageLevel.useMemory or df.storageLevel.useDisk else persist_tracked(df)
 
 
 def _spec_key(kind: str, value) -> str:

@@ -79,7 +79,8 @@ class Ctx:
             df = materialise(build(), path, partition_by)
             _RUN_TABLES[key] = hit = (path, df.schema)
             # everything upstream is now on disk as a table: release the stage's cached intermediates
-            self.spark.catalog.clearCache()
+            from ..operators.joins import release_persisted
+            release_persisted()
         return self.spark.read.schema(hit[1]).parquet(hit[0])
 
     @cached_property
