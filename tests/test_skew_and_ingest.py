@@ -79,3 +79,14 @@ def test_latest_per_group_split_and_fallback_agree_on_hot_key(spark):
     assert _rows(split) == _rows(fallback)
     hot = [r for r in split.collect() if r.k == 0][0]
     assert hot.d == max(r.d for r in df.filter("k = 0").collect())
+
+
+def test_release_keeps_user_caches(spark):
+    from vigor.operators.joins import bounded_broadcast, release_persisted
+    mine = spark.range(50).withColumn("x", F.col("id") * 3).cache()
+    mine.count()
+    side = bounded_broadcast(spark.range(10).withColumn("y", F.col("id")))
+    assert side.count() == 10
+    release_persisted()
+    assert mine.storageLevel.useMemory            # the caller's cache is untouched
+    mine.unpersist()
