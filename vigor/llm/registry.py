@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, id_files, mixing
+from . import byte_bpe, id_files, line_dedup, mixing, quality_rules, top_k
 
 
 def queries() -> dict:
@@ -10,8 +10,11 @@ def queries() -> dict:
         "op2_mixing": mixing.query,
         "op5_byte_bpe": byte_bpe.query,
         "op6_id_files": id_files.query,
+        "op7_quality_rules": quality_rules.query,
+        "op9_line_dedup": line_dedup.query,
+        "op10_top_k": top_k.query,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE}
