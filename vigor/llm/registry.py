@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, id_files, line_dedup, mixing, quality_rules, top_k
+from . import byte_bpe, id_files, line_dedup, mixing, ngram_join, quality_rules, top_k
 
 
 def queries() -> dict:
     return {
         "op2_mixing": mixing.query,
+        "op4_ngram_join": ngram_join.query,
         "op5_byte_bpe": byte_bpe.query,
         "op6_id_files": id_files.query,
         "op7_quality_rules": quality_rules.query,
@@ -17,4 +18,4 @@ def queries() -> dict:
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE}
+    return {"op4_ngram_join": ngram_join.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE}
