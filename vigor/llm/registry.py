@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, id_files, line_dedup, mixing, ngram_join, quality_rules, top_k
+from . import byte_bpe, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k
 
 
 def queries() -> dict:
     return {
+        "op1_suffix_dedup": suffix_dedup.query,
         "op2_mixing": mixing.query,
         "op4_ngram_join": ngram_join.query,
         "op5_byte_bpe": byte_bpe.query,
