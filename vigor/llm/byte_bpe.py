@@ -272,7 +272,12 @@ def encode_decode(docs: DataFrame, path: str | None = None, keep: list[str] | No
     return source.mapInArrow(run, schema)
 
 
+def digests(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    return encode_decode(docs, keep=["doc_id"]).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def query(spark, sf_dir):
-    out = encode_decode(table(spark, sf_dir, "documents"), keep=["doc_id"])
-    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return digests(table(spark, sf_dir, "documents"))

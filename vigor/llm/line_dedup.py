@@ -202,12 +202,13 @@ def losses(refs: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS) -> Data
 
 
 def strip(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with the lines of the lost keys gone from ``text``, and ``n_lines`` and ``n_dropped``."""
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_keys")]
-    joined = docs.select(*kept).join(
+    """(doc_id, text, rest, n_lines, n_dropped): the texts without the lines of lost keys; ``rest`` has the other columns."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.lit(None).cast("int")
+    joined = docs.select("doc_id", "text", rest.alias("rest")).join(
         lost.select(F.col("doc_id").alias("_doc"), F.col("keys").alias("_keys")).hint("shuffle_hash"),
-        F.col("doc_id") == F.col("_doc"), "left").select(*kept, "_keys")
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+        F.col("doc_id") == F.col("_doc"), "left").select("doc_id", "text", "rest", "_keys")
+    schema = T.StructType([*joined.schema.fields[:3], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -222,19 +223,31 @@ def strip(docs: DataFrame, lost: DataFrame, min_chars: int = MIN_CHARS) -> DataF
                     text = b"\n".join(lines)
                 texts.append(text)
                 dropped.append(gone)
-            new = {"text": pa.array(texts, pa.binary()).cast(pa.string())}
-            yield pa.RecordBatch.from_arrays([*(new.get(c, batch.column(c)) for c in kept), pa.array(before, pa.int64()),
-                                              pa.array(dropped, pa.int64())], names=[*kept, "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), batch.column("rest"),
+                 pa.array(before, pa.int64()), pa.array(dropped, pa.int64())], names=schema.names)
 
     return joined.mapInArrow(run, schema)
 
 
 def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Line dedup of a whole table: every frequent key keeps its lines in the largest doc_id that holds it only."""
+    """Line dedup of a whole table: every frequent key keeps its lines in the largest doc_id that holds it only.
+
+    Returns what :func:`strip` does.
+    """
     refs = stored(references(docs, min_chars), "references")
     return strip(docs, losses(refs, reference_counts(refs), min_docs), min_chars)
 
 
+def cleaned(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with its columns as they were, but for ``text`` and its length ``n_chars``."""
+    out = dedup(docs, **options)
+    mine = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        mine["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[mine.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
+
+
 class LineIndex:
     """References kept between runs: documents come and go, and decisions are as if only those still in had ever come.
 

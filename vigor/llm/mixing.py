@@ -55,15 +55,15 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
 
 
 def mix(docs: DataFrame, *, max_epochs: float = 3.0, weights: tuple[int, ...] = (1, 2, 3), seed: int = 17,
-        keep: list[str] | None = None) -> DataFrame:
-    """Return (doc_id, ``keep``..., source, size, source_size, target, copies, taken), a row per document.
+        carry: bool = False) -> DataFrame:
+    """Return (doc_id, source, size, source_size, target, copies, taken), a row per document.
 
-    ``copies`` is how many times the mix takes the document, never more than ``max_epochs`` rounded up to the
-    whole copies that fit under it; ``taken`` is ``size * copies``.
+    ``copies`` is how many times the mix takes the document, at most ``max_epochs`` rounded up to a whole number;
+    ``taken`` is ``size * copies``.  With ``carry`` the row of the input comes along as the struct ``row``.
     """
-    keep = keep or []
+    row = [F.struct("*").alias("row")] if carry else []
     sized = stored(docs.select(
-        "doc_id", "source", *keep, word_count(F.col("text")).alias("size"),
+        "doc_id", "source", *row, word_count(F.col("text")).alias("size"),
         F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(BUCKETS)).cast("int").alias("_bucket")), "sized")
     buckets = stored(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "buckets")
     sizes = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
@@ -86,10 +86,16 @@ def mix(docs: DataFrame, *, max_epochs: float = 3.0, weights: tuple[int, ...] =
                        F.when(F.col("best.miss") < F.col("want"), F.col("best._bucket")).otherwise(-1).alias("cut"))
     copies = (F.col("whole") + F.when(F.col("_bucket") <= F.col("cut"), 1).otherwise(0)).cast("long")
     return sized.alias("d").join(stored(cuts, "cuts").alias("c"), F.col("d.source").eqNullSafe(F.col("c.source"))).select(
-        "d.doc_id", *[F.col(f"d.{c}") for c in keep], "d.source", "d.size", "c.source_size", "c.target",
+        "d.doc_id", *(["d.row"] if carry else []), "d.source", "d.size", "c.source_size", "c.target",
         copies.alias("copies"), (F.col("d.size") * copies).alias("taken"))
 
 
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, each as often as the mix takes it, with their columns as they were."""
+    taken = mix(docs, carry=True, **options).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+
+
 def query(spark, sf_dir):
     from .shared import table
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

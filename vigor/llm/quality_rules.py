@@ -153,7 +153,8 @@ def verdicts(measured: DataFrame, fences: DataFrame, groups: tuple[str, ...] = (
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns as they were.  Texts are measured twice and never shuffled."""
     fences = stored(thresholds(sketches(measure(docs, ["lang", "source"]))), "fences")
-    return verdicts(measure(docs, docs.columns), fences).filter("kept").select(*docs.columns)
+    carried = docs.select("text", "lang", "source", F.struct("*").alias("row"))
+    return verdicts(measure(carried, ["lang", "source", "row"]), fences).filter("kept").select("row.*")
 
 
 def query(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k
+from . import byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op5_byte_bpe": byte_bpe.query,
         "op6_id_files": id_files.query,
         "op7_quality_rules": quality_rules.query,
+        "op8_html_text": html_text.query,
         "op9_line_dedup": line_dedup.query,
         "op10_top_k": top_k.query,
     }
