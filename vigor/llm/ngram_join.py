@@ -12,10 +12,11 @@ hash.  Two sets that link share a shingle in the first ``n - ceil(t * n) + 1`` o
    is a shingle that only one side has.  Pairs that pass are verified and complete the components.
 
 Verification intersects the two sorted shingle arrays.  A link within a component of step 1 can't change it and
-isn't looked for.  No list is cut short: a list of any length is compared whole, over as many tasks as it has pairs of tiles.
+isn't looked for.  A doc_id names one text: rows that repeat one
+are copies.  No list is cut short: a list of any length is compared whole, over as many tasks as it has pairs of tiles.
 
 Defined cases: a null or wordless text has an empty set and links with nothing; one with fewer than n words has its word
-sequence as its only shingle; repeated rows are copies; rows without doc_id keep a null component; an empty table
+sequence as its only shingle; rows without doc_id keep a null component; an empty table
 gives an empty result.  The n-grams are compared by 64-bit hashes.
 """
 
@@ -27,10 +28,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .shared import chunks, input_partitions, stored, table
+from .shared import chunks, input_partitions, rows_of, stored, table
 
 #: Counters of the hashed table of shingle counts: its size is fixed, so it may be collected and sent to all tasks.
 COUNTERS = 1 << 18
@@ -65,6 +67,9 @@ def counters(docs: DataFrame, k: int) -> np.ndarray:
 
 def signatures(docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
     """(doc_id, n, f1, f2, prefix, bits): set size, fingerprint of the set, first shingles and bitmap."""
+    array = T.ArrayType(T.LongType(), False)
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(c, T.LongType(), False) for c in ("n", "f1", "f2")),
+                           T.StructField("prefix", array, False), T.StructField("bits", array, False)])
     levels = docs.sparkSession.sparkContext.broadcast(counters(docs, k))
     num, den = share
 
@@ -85,19 +90,34 @@ def signatures(docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
                 running = np.r_[np.uint64(0), np.cumsum(W.mixed(h ^ np.uint64(salt)), dtype=np.uint64)]
                 prints.append((running[first + n] - running[first]).view(np.int64))
             odd = np.bincount(doc * BITS + (h >> np.uint64(40)).astype(np.int64) % BITS, minlength=m * BITS) & 1
-            bitmaps = np.packbits(odd.reshape(m, BITS).astype(bool), axis=1)
+            bitmaps = np.packbits(odd.astype(bool)).view(np.int64)
+            sixty_four = np.arange(0, len(bitmaps) + 1, BITS // 64, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(n.astype(np.int64)), *(pa.array(p) for p in prints),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(h[order][take].view(np.int64))),
-                pa.array([b.tobytes() for b in bitmaps], pa.binary())], names=["doc_id", "n", "f1", "f2", "prefix", "bits"])
+                pa.ListArray.from_arrays(pa.array(sixty_four), pa.array(bitmaps))], names=["doc_id", "n", "f1", "f2", "prefix", "bits"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, f1 long, f2 long, prefix array<long>, bits binary")
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) whose sets (rep, hashes) link."""
+def sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """(rep, hashes): the sorted shingle sets, as 64-bit integers, of all documents in the stored ``pairs``."""
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            doc, h = _sets(batch.column("text"), k)
+            ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=batch.num_rows))].tolist()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
+                [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["rep", "hashes"])
+
+    return rows_of(docs.select("doc_id", "text"), ids, "doc_id").mapInArrow(run, "rep long, hashes binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) of the stored ``pairs`` whose documents link."""
     num, den = share
+    sets = stored(sets_of(docs, pairs, k), "sets")
     one = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("x"))
     two = sets.select(F.col("rep").alias("b"), F.col("hashes").alias("y"))
 
@@ -115,6 +135,17 @@ def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def passing(pairs: DataFrame, sizes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) that may link by the sizes and bitmaps of ``sizes`` (rep, n, bits)."""
+    num, den = share
+    side = lambda c: sizes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
+    differing = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    total = F.col("na") + F.col("nb")
+    most = F.least("na", "nb", F.floor((total - differing) / 2))
+    return (pairs.join(side("a"), "a").join(side("b"), "b").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
+            .filter(den * most >= num * (total - most)).select("a", "b"))
+
+
 def may_link(n1: np.ndarray, n2: np.ndarray, differing: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """Whether sets of these sizes may link, given the number of bits in which their bitmaps differ."""
     most = np.minimum(np.minimum(n1, n2), (n1 + n2 - differing) // 2)
@@ -134,7 +165,7 @@ def tiled_pairs(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         token, low, high, n, rep, component, tile = (rows.column(c).to_numpy() for c in range(7))
-        bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint64).reshape(len(n), BITS // 64)
+        bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), BITS // 64)
         a, b = [], []
         alive, d = np.arange(len(n)), 0
         while True:
@@ -182,41 +213,26 @@ def join(docs: DataFrame, *, k: int = 5, share: tuple[int, int] = (80, 100)) ->
     signed = stored(signatures(docs, k, share), "signatures")
     full = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    members = stored(full.join(classes, ["f1", "f2", "n"]).filter(F.col("doc_id") == F.col("rep")).select(
+        "rep", "n", "prefix", "bits"), "members")
+    sizes = members.select("rep", "n", "bits")
 
-    lists = (full.join(classes, ["f1", "f2", "n"]).filter(F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"])
-             .select("rep", "n", F.explode("prefix").alias("token")))
+    # A list has a row per class at most and a class is on dozens of lists, so no list holds more than a small share.
+    lists = members.select("rep", "n", F.explode("prefix").alias("token")).repartition(input_partitions(docs), "token")
     shared = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("leader")).filter("size > 1")
     postings = stored(lists.join(shared, "token").select("token", "rep", "n", "leader"), "postings")
 
-    members = postings.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(members, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            doc, h = _sets(batch.column("text"), k)
-            ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=batch.num_rows))].tolist()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(
-                [h[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())], names=["rep", "hashes"])
-
-    sets = stored(texts.mapInArrow(hashes, "rep long, hashes binary"), "sets")
-    sizes = signed.select(F.col("doc_id").alias("rep"), "n", "bits").join(members.withColumnRenamed("doc_id", "rep"), "rep", "left_semi")
-    sizes = stored(sizes.dropDuplicates(["rep"]), "sizes")
-
     stars = postings.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    lead = sizes.select(F.col("rep").alias("a"), F.col("n").alias("na"))
-    near = stars.join(lead, "a").join(sizes.select(F.col("rep").alias("b"), F.col("n").alias("nb")), "b").filter(
-        share[1] * F.least("na", "nb") >= share[0] * F.greatest("na", "nb")).select("a", "b")
-    first_links = stored(verified(near, sets, share), "links")
-    first = components(first_links)
-
-    placed = sizes.join(first.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "rep", "bits", F.coalesce("component", "rep").alias("component"))
-    placed = stored(placed, "placed")
-    split = postings.join(placed.select("rep", "component"), "rep")
+    near = stored(passing(stars, sizes, share), "near")
+    first_links = stored(verified(near, docs, k, share), "links")
+    first = stored(components(first_links).withColumnRenamed("node", "rep"), "first")
+
+    split = postings.join(first, "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     open_lists = split.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
-    again = stored(split.join(open_lists, "token", "left_semi").join(placed.select("rep", "bits"), "rep"), "open")
-    links = verified(stored(tiled_pairs(again, share), "candidates"), sets, share)
-    found = components(first_links.unionByName(stored(links, "links")))
+    again = split.join(open_lists, "token", "left_semi").join(sizes.select("rep", "bits"), "rep")
+    candidates = stored(tiled_pairs(again, share), "candidates")
+    links = stored(verified(candidates, docs, k, share), "links")
+    found = components(first_links.unionByName(links))
 
     reps = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "f1", "f2", "n", F.coalesce("component", "rep").alias("component_id"))

@@ -73,3 +73,12 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
             total += n
         if start < len(sizes):
             yield batch.slice(start)
+
+
+#: Ids that a broadcast may hold (8 bytes each).
+BROADCAST_IDS = 1_000_000
+
+
+def rows_of(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is in the stored one-column ``ids``: counted first, and sent to all tasks if few."""
+    return df.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, column, "left_semi")
