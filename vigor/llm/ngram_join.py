@@ -9,7 +9,7 @@ hash.  Two sets that link share a shingle in the first ``n - ceil(t * n) + 1`` o
 2. Posting lists whose members lie in several components are read again, in tiles: lists are cut into tiles of
    bounded size, rows are ordered by set size, and a pair of different components is compared while the sizes may
    still link (size band).  Bitmaps (parity of hashed shingles) bound the overlap from above: every differing bit
-   is a shingle that only one side has.  Pairs that pass are verified and complete the components.
+   is a shingle that only one side has; pairs that pass are held against wider ones.  What passes is verified and complete the components.
 
 Verification intersects the two sorted shingle arrays.  A link within a component of step 1 can't change it and
 isn't looked for.  A doc_id names one text: rows that repeat one
@@ -69,7 +69,7 @@ def signatures(docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
     """(doc_id, n, f1, f2, prefix, bits): set size, fingerprint of the set, first shingles and bitmap."""
     array = T.ArrayType(T.LongType(), False)
     schema = T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(c, T.LongType(), False) for c in ("n", "f1", "f2")),
-                           T.StructField("prefix", array, False), T.StructField("bits", array, False)])
+                           *(T.StructField(c, array, False) for c in ("prefix", "bits", "wide"))])
     levels = docs.sparkSession.sparkContext.broadcast(counters(docs, k))
     num, den = share
 
@@ -92,10 +92,16 @@ def signatures(docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
             odd = np.bincount(doc * BITS + (h >> np.uint64(40)).astype(np.int64) % BITS, minlength=m * BITS) & 1
             bitmaps = np.packbits(odd.astype(bool)).view(np.int64)
             sixty_four = np.arange(0, len(bitmaps) + 1, BITS // 64, dtype=np.int32)
+            # Twice as many bits as shingles (a power of two), for the sizes that BITS can't tell apart.
+            room = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64))
+            base = np.r_[0, np.cumsum(room)]
+            odd = np.bincount(base[doc] + ((h >> np.uint64(20)).astype(np.int64) & (room[doc] - 1)), minlength=base[-1]) & 1
+            wide = np.packbits(odd.astype(bool)).view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(n.astype(np.int64)), *(pa.array(p) for p in prints),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(h[order][take].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(sixty_four), pa.array(bitmaps))], names=["doc_id", "n", "f1", "f2", "prefix", "bits"])
+                pa.ListArray.from_arrays(pa.array(sixty_four), pa.array(bitmaps)),
+                pa.ListArray.from_arrays(pa.array((base // 64).astype(np.int32)), pa.array(wide))], names=["doc_id", "n", "f1", "f2", "prefix", "bits", "wide"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -136,14 +142,23 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, share: tuple[int, int])
 
 
 def passing(pairs: DataFrame, sizes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The pairs (a, b) that may link by the sizes and bitmaps of ``sizes`` (rep, n, bits)."""
+    """The pairs (a, b) that may link by the sizes and wide bitmaps of ``sizes`` (rep, n, wide).
+
+    Sizes in the band differ by less than a factor of two, so bitmaps differ by one doubling at most: the longer is folded.
+    """
     num, den = share
-    side = lambda c: sizes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
-    differing = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    xor = lambda x, y: F.zip_with(x, y, lambda p, q: p.bitwiseXOR(q))
+    half = lambda c: F.size(c) / 2
+    folded = lambda c: xor(F.slice(c, F.lit(1), half(c).cast("int")), F.slice(c, half(c).cast("int") + 1, half(c).cast("int")))
+    side = lambda c: sizes.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}"))
+    la, lb = F.size("wa"), F.size("wb")
+    apart = F.when(la == lb, xor(F.col("wa"), F.col("wb"))).when(la > lb, xor(folded(F.col("wa")), F.col("wb"))).otherwise(
+        xor(F.col("wa"), folded(F.col("wb"))))
+    differing = F.aggregate(F.transform(apart, F.bit_count), F.lit(0), lambda t, x: t + x)
     total = F.col("na") + F.col("nb")
     most = F.least("na", "nb", F.floor((total - differing) / 2))
-    return (pairs.join(side("a"), "a").join(side("b"), "b").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-            .filter(den * most >= num * (total - most)).select("a", "b"))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
+    return sized.filter(den * most >= num * (total - most)).select("a", "b")
 
 
 def may_link(n1: np.ndarray, n2: np.ndarray, differing: np.ndarray, share: tuple[int, int]) -> np.ndarray:
@@ -209,13 +224,15 @@ def tiled_pairs(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
 
 
 def join(docs: DataFrame, *, k: int = 5, share: tuple[int, int] = (80, 100)) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document; links need ``share`` (a fraction) of the union."""
+    """(doc_id, n_shingles, component_id) of every document; links need ``share`` (a fraction over 1/2) of the union."""
+    if 2 * share[0] <= share[1]:
+        raise ValueError("shares up to 1/2 are not supported: bitmaps are compared over one doubling of size")
     signed = stored(signatures(docs, k, share), "signatures")
     full = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = stored(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "classes")
     members = stored(full.join(classes, ["f1", "f2", "n"]).filter(F.col("doc_id") == F.col("rep")).select(
-        "rep", "n", "prefix", "bits"), "members")
-    sizes = members.select("rep", "n", "bits")
+        "rep", "n", "prefix", "bits", "wide"), "members")
+    sizes = members.select("rep", "n", "wide")
 
     # A list has a row per class at most and a class is on dozens of lists, so no list holds more than a small share.
     lists = members.select("rep", "n", F.explode("prefix").alias("token")).repartition(input_partitions(docs), "token")
@@ -229,8 +246,8 @@ def join(docs: DataFrame, *, k: int = 5, share: tuple[int, int] = (80, 100)) ->
 
     split = postings.join(first, "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     open_lists = split.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
-    again = split.join(open_lists, "token", "left_semi").join(sizes.select("rep", "bits"), "rep")
-    candidates = stored(tiled_pairs(again, share), "candidates")
+    again = split.join(open_lists, "token", "left_semi").join(members.select("rep", "bits"), "rep")
+    candidates = stored(passing(stored(tiled_pairs(again, share), "tiled"), sizes, share), "candidates")
     links = stored(verified(candidates, docs, k, share), "links")
     found = components(first_links.unionByName(links))
 
