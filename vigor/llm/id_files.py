@@ -28,9 +28,12 @@ from .shared import chunks, input_partitions, table
 #: Ids a block holds before the next document starts a new one.  A longer document has a block of its own.
 BLOCK_IDS = 1 << 17
 #: Distinct words whose ids a task remembers.
-KNOWN_WORDS = 400_000
-#: Cutting at ASCII white space is safe: the pre-tokenizer never joins across it.
-_WORDS = re.compile(r"[^ \t-\r]+")
+KNOWN_WORDS = 1_000_000
+#: Words that go to the library in one call, with an added token between them (which nothing merges with).
+TOGETHER = 1000
+#: Cutting at ASCII white space is safe: the pre-tokenizer never joins across it.  So is cutting after a leading run of
+#: Latin letters that an ASCII character follows, which is not one.
+_WORDS = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]++(?=[\x00-\x7f]|\Z)|[^ \t-\r]+")
 
 BLOCKS = ("shard int, block int, first_doc long, last_doc long, doc_ids array<long>, ends array<long>, "
           "n_ids long, bits int, payload binary")
@@ -84,15 +87,59 @@ class Encoder:
         self.tokenizer.no_padding()
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.known: dict[str, bytes] = {}
+        # Which tokens end a word, if the model marks them and words of letters are words to it.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        if suffix and [t for t, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("ab c")] == ["ab", "c"]:
+            self.ends = np.zeros(1 << self.bits, bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        plain = [i for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.border = (max(plain), added[max(plain)].content) if plain else None
+        self.lowers = self.tokenizer.normalizer is not None and self.tokenizer.normalizer.normalize_str("A") == "a"
+        self.added = [t.content for t in added.values()]
+
+    def lower(self, text: str) -> str:
+        """Lower-case A-Z, which the normalizer does anyway, unless that makes an added token out of ordinary text."""
+        low = text.encode().lower().decode()
+        return low if self.lowers and all(low.count(a) == text.count(a) for a in self.added) else text
+
+    def learn(self, fresh: list[str]) -> None:
+        """Encode new words by the library, many in one call.
+
+        Words of letters go with spaces between them and are told apart by the token that ends each; others with an added
+        token between them, and words that hold an added token go alone.
+        """
+        plain = [w for w in fresh if w.isalpha()] if self.ends is not None else []
+        self.together(plain, " ", None)
+        odd = [w for w in fresh if w not in self.known]
+        alone = [w for w in odd if self.border is None or any(a in w for a in self.added)]
+        for w, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        if self.border:
+            self.together([w for w in odd if w not in self.known], self.border[1], self.border[0])
+
+    def together(self, words: list[str], between: str, border: int | None) -> None:
+        rows = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast([between.join(r) for r in rows], add_special_tokens=False)
+        for row, e in zip(rows, found, strict=True):
+            ids = np.array(e.ids, "<u4")
+            skip = int(border is not None)
+            ends = np.flatnonzero(self.ends[ids]) + 1 if border is None else np.r_[np.flatnonzero(ids == border), len(ids)]
+            if len(ends) != len(row):
+                continue  # some word isn't one word to this tokenizer: these are left to the other ways
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(row, (4 * ends).tolist(), strict=True):
+                self.known[w] = raw[at:end]
+                at = end + 4 * skip
 
     def encode(self, texts: list[str | None], end: bytes) -> list[np.ndarray]:
-        words = [_WORDS.findall(t) if t else [] for t in texts]
+        words = [_WORDS.findall(self.lower(t)) if t else [] for t in texts]
         seen = set().union(*words)
-        if len(self.known) + len(seen) > KNOWN_WORDS:
-            self.known.clear()
         fresh = [w for w in seen if w not in self.known]
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        if len(self.known) + len(fresh) > KNOWN_WORDS:  # keep those of this batch, among which the frequent are
+            self.known = {w: self.known[w] for w in seen if w in self.known}
+        self.learn(fresh)
         get = self.known.__getitem__
         return [np.frombuffer(b"".join(map(get, w)) + end, "<u4") for w in words]
 
