@@ -37,7 +37,7 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\
 UNSETTLED = regex.compile("[\u0530-\u10ff\u1c80-\u1cff\u2080-\u209f\ua640-\uabff\U00010000-\U0010ffff]")
 
 #: Words whose encoding a task remembers; more are forgotten and encoded again.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 300_000
 #: Longer words are merged one by one with a queue.
 LONG_WORD = 64
 
@@ -231,9 +231,10 @@ class ByteBPE:
             else:
                 pieces.append([self.words(text)])
         seen = set().union(*(p for doc in pieces for p in doc if not isinstance(p, int)))
-        if len(self.known) + len(seen) > KNOWN_WORDS:
-            self.known.clear()
-        self.learn([w for w in seen if w not in self.known])
+        fresh = [w for w in seen if w not in self.known]
+        if len(self.known) + len(fresh) > KNOWN_WORDS:  # keep those of this batch, among which the frequent are
+            self.known = {w: self.known[w] for w in seen if w in self.known}
+        self.learn(fresh)
         get = self.known.__getitem__
         return [b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(get, p)) for p in doc)
                 for doc in pieces]

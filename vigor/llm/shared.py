@@ -16,7 +16,7 @@ from ..session import ensure_checkpoint_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of text a task works on at once; bounds the size of numpy intermediates, not what is read.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
