@@ -90,7 +90,7 @@ def test_reduction_bands_and_alert(spark):
 
 
 def test_opponent_literal_split(spark):
-    df = spark.createDataFrame([("FFS vs. LAL",), ("FFS @ BOS",), ("FFS - X",)], "m string")
+    df = spark.createDataFrame([("HOM vs. LAL",), ("HOM @ BOS",), ("HOM - X",)], "m string")
     got = [tuple(r) for r in df.select(X.opponent("m"), X.home_away("m")).collect()]
     assert got == [("LAL", "Domicile"), ("BOS", "Exterieur"), (None, None)]
 

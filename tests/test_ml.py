@@ -62,8 +62,9 @@ def test_kmeans_same_seed_same_clusters(spark):
 
 def test_name_clusters_by_rank(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0), (2, 5.0), (3, 0.0)], "c int, perf double")
-    got = dict((r.c, r.profil_label) for r in M.name_clusters(df, "c", "perf").collect())
-    assert got == {1: "Stars", 2: "Lieutenants", 0: "Rotation", 3: None}
+    labels = [*M.PROFILE_LABELS, "Others"]      # every group needs a label; a missing one fails (test_skew_and_ingest)
+    got = dict((r.c, r.profil_label) for r in M.name_clusters(df, "c", "perf", labels).collect())
+    assert got == {1: "Stars", 2: "Lieutenants", 0: "Rotation", 3: "Others"}
 
 
 def test_injury_scoring_invariants(spark):

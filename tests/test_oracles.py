@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from vigor.plans.registry import all_oracles, all_queries
 
 SUBSET = ["src_3_sheet_type_narrowing", "snk_6_scd2_snapshot", "prj_2_safe_cast", "jn_9_existence_join",
           "agg_12_describe", "win_2_dedup_composite_key", "win_7_trailing_avg", "win_9_trailing_sum",
@@ -32,7 +33,7 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_oracle_or_is_model_fitting():
-    qs, orc = E.queries(), E.oracle_sql()
+    qs, orc = all_queries(), all_oracles()
     missing = {k for k in qs if k not in orc}
     assert all(k.startswith(("ml_", "pl_12", "pl_13", "pl_14", "snk_7")) for k in missing), missing
 

@@ -2,8 +2,12 @@
 
 import datetime as dt
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vigor.operators import ml as M
+from vigor.operators import quality as Q
 from vigor.operators import relational as R
 from vigor.sources import ingest as I
 
@@ -21,15 +25,25 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_dedup_split_and_fallback_agree_on_hot_key(spark):
+def _first_by_window(df, keys, order):
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
+def test_dedup_agrees_with_row_number_on_hot_key(spark):
     df = _hot(spark).repartition(6)
-    split = R.dedup_keep_one(df, ["k"])                     # repeated keys broadcast, split path
-    fallback = R.dedup_keep_one(df, ["k"], split_rows=-1)   # bound exceeded: min(struct) for all
-    assert _rows(split) == _rows(fallback)
-    hot = [r for r in split.collect() if r.k == 0]
+    got = R.dedup_keep_one(df, ["k"])
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c != "k"]
+    assert _rows(got) == _rows(_first_by_window(df, ["k"], rest))
+    hot = [r for r in got.collect() if r.k == 0]
     assert len(hot) == 1 and (hot[0].s, hot[0].x) == ("0", 0.0)
 
 
+def test_dedup_starts_no_job_and_caches_nothing(spark):
+    plan = R.dedup_keep_one(_hot(spark), ["k"])._jdf.queryExecution().toString()
+    assert "InMemoryRelation" not in plan
+
+
 def test_rolling_stats_hot_entity_both_join_paths(spark):
     df = _hot(spark).withColumn("day", F.unix_date("d"))
     specs = [("avg", "x", "a{n}"), ("max", "x", "m{n}"), ("sum", "x", "s{n}")]
@@ -71,16 +85,57 @@ def test_incremental_ingest_anti_join(spark):
     assert _rows(I.new_rows(incoming, loaded, ["k"])) == [(2, "b")]
 
 
-def test_latest_per_group_split_and_fallback_agree_on_hot_key(spark):
+def test_latest_per_group_agrees_with_row_number_on_hot_key(spark):
     df = _hot(spark).repartition(5)
-    split = R.latest_per_group(df, ["k"], ["d", "s"])
+    got = R.latest_per_group(df, ["k"], ["d", "s"])
     rest = [c for c in df.columns if c not in ("k", "d", "s")]
-    fallback = R.dedup_keep_one(df, ["k"], ["d", "s"] + rest, split_rows=-1, largest=True)
-    assert _rows(split) == _rows(fallback)
-    hot = [r for r in split.collect() if r.k == 0][0]
+    assert _rows(got) == _rows(_first_by_window(df, ["k"], [F.col(c).desc_nulls_last() for c in ["d", "s", *rest]]))
+    hot = [r for r in got.collect() if r.k == 0][0]
     assert hot.d == max(r.d for r in df.filter("k = 0").collect())
 
 
+def test_narrow_types_takes_every_number_text(spark):
+    df = spark.createDataFrame([("1.0", "1e2", "NaN", "x", "1.5"), ("2.0", " 3 ", "4", "NaN", ""), ("", None, None, "2", "2")],
+                               "a string, b string, c string, d string, e string")
+    out = I.narrow_types(df)
+    assert [t for _, t in out.dtypes] == ["bigint", "bigint", "bigint", "string", "double"]
+    assert [tuple(r) for r in out.collect()] == [(1, 100, None, "x", 1.5), (2, 3, 4, None, None), (None, None, None, "2", 2.0)]
+
+
+def test_modes_keep_one_row_for_a_null_key(spark):
+    df = spark.createDataFrame([(None, "a", 1), (None, "a", 2), ("k", "b", None)], "g string, x string, y long")
+    got = sorted((r.g or "", r.x, r.y) for r in R.modes_per_group(df, ["g"], ["x", "y"]).collect())
+    assert got == [("", "a", 1), ("k", "b", None)]
+
+
+def test_unique_leaves_null_keys_to_not_null(spark):
+    df = spark.createDataFrame([(None,), (None,), (3,)], "k long")
+    assert Q.unique_violations(df, "t", ["k"]).first().failing_rows == 0
+
+
+def test_enforce_names_every_broken_rule(spark):
+    df = spark.createDataFrame([(1,)], "k long")
+    rules = [Q.check(f"never_{i}", "k > 1") for i in range(30)]
+    with pytest.raises(ValueError) as e:
+        Q.enforce(Q.rule_violations(df, "t", rules))
+    assert all(f"t.never_{i}=1" in str(e.value) for i in range(30))
+
+
+def test_more_groups_than_labels_fail(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(4)], "c long, x double")
+    with pytest.raises(Exception, match="more groups than the 3 labels"):
+        M.name_clusters(df, "c", "x").collect()
+
+
+def test_every_order_has_a_box_score(spark):
+    from conftest import SF_SMALL
+
+    from vigor.sources import adapter, catalog
+    assert adapter.raw_table(spark, SF_SMALL, "team_boxscores").count() == catalog.load(spark, SF_SMALL, "orders").count()
+    sessions = adapter.raw_table(spark, SF_SMALL, "team_training_sessions")
+    assert sessions.count() == catalog.load(spark, SF_SMALL, "lineitem").count() == sessions.select("SESSION_ID").distinct().count()
+
+
 def test_release_keeps_user_caches(spark):
     from vigor.operators.joins import bounded_broadcast, release_persisted
     mine = spark.range(50).withColumn("x", F.col("id") * 3).cache()

@@ -69,15 +69,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return small
 
 
-def small_or_none(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame | None:
-    """The persisted ``df`` if it is proven to hold at most ``max_rows`` rows, else None."""
-    small = persist_tracked(df)
-    if small.count() <= max_rows:
-        return small
-    small.unpersist()
-    return None
-
-
 def scalar_broadcast(one_row: DataFrame) -> DataFrame:
     """Broadcast a global aggregate (exactly one row: the bound is structural)."""
     return F.broadcast(one_row)

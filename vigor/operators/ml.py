@@ -108,10 +108,10 @@ def fit_gbt(train: DataFrame, features: list[str], label: str, weight: str | Non
 
 
 def fit_random_forest(train: DataFrame, features: list[str], label: str, weight: str | None = None,
-                      num_trees: int = 200, max_depth: int = 12, seed: int = 42):
+                      num_trees: int = 200, max_depth: int = 30, max_bins: int = 32, seed: int = 42):
     """Random forest (ML-7); sklearn's unbounded depth is made explicit."""
     rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                                seed=seed)
+                                maxBins=max_bins, seed=seed)
     if weight:
         rf = rf.setWeightCol(weight)
     return rf.fit(assemble(train, features).withColumn(label, F.col(label).cast("double")))
@@ -244,6 +244,7 @@ def name_clusters(df: DataFrame, cluster: str, measure: str, labels=PROFILE_LABE
                   out: str = "profil_label") -> DataFrame:
     """Label clusters by descending mean ``measure`` (ML-13, AGG-17, WIN-11, JN-14).
 
+    Needs a label for every group; more groups than labels fail the query.
     The per-cluster means are a k-row aggregate; ranking them with an
     unpartitioned window touches k rows only.
     """
@@ -252,6 +253,6 @@ def name_clusters(df: DataFrame, cluster: str, measure: str, labels=PROFILE_LABE
     ranked = means.withColumn("__rank", F.row_number().over(Window.orderBy(F.col("__mean").desc_nulls_last(),
                                                                            F.col(cluster))))
     names = F.array(*[F.lit(x) for x in labels])
-    lut = ranked.select(cluster, F.when(F.col("__rank") <= len(labels),
-                                        F.element_at(names, F.col("__rank"))).alias(out))
-    return df.join(F.broadcast(lut), cluster, "left")
+    lut = ranked.select(cluster, F.when(F.col("__rank") <= len(labels), F.element_at(names, F.col("__rank"))).otherwise(
+        F.raise_error(F.lit(f"more groups than the {len(labels)} labels"))).alias(out))
+    return df.join(lut, cluster, "left")

@@ -23,13 +23,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col_, exact_sum, round_half_up
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, persist_tracked, small_or_none
+from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, persist_tracked
 
 # --------------------------------------------------------------------------- WIN-1/2
 
 
-def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None,
-                   split_rows: int | None = DEFAULT_BROADCAST_ROWS, largest: bool = False) -> DataFrame:
+def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = None, largest: bool = False) -> DataFrame:
     """One row per ``keys`` (WIN-1, WIN-2).
 
     The survivor is the first row in ascending order of ``order`` (default:
@@ -37,29 +36,10 @@ def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = Non
     order, so the result is deterministic.  ``largest`` keeps the last row of
     that order instead (``max(struct)``).
 
-    Plan: a hash aggregate over the key columns finds the keys that repeat.
-    When that set is proven small (``split_rows``) it is broadcast: rows with
-    a unique key pass straight through an anti join (no sort, no shuffle of
-    the wide rows) and only the repeated keys go through ``min(struct)`` -- a
-    partial aggregate with map-side combine, so even a key holding a third of
-    all rows collapses before its shuffle.  Above the bound every row takes
-    the ``min(struct)`` path.
+    Plan: one ``min(struct)`` aggregate, partial before its shuffle, so a key
+    holding a third of all rows is one row per task when it is shuffled.
     """
     order = order or [c for c in df.columns if c not in keys]
-    if split_rows is not None:
-        df = _persisted(df)     # read three times: key counts, unique rows, repeated rows
-        dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1).select(*keys)
-        dup = small_or_none(dup, split_rows)
-        if dup is not None:
-            d = F.broadcast(dup.select(*[F.col(k).alias(f"__d_{k}") for k in keys]))
-            cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(d[f"__d_{k}"]) for k in keys])
-            unique_rows = df.join(d, cond, "left_anti")
-            repeated = df.join(d, cond, "left_semi")
-            return unique_rows.unionByName(_min_struct_dedup(repeated, keys, order, largest))
-    return _min_struct_dedup(df, keys, order, largest)
-
-
-def _min_struct_dedup(df: DataFrame, keys: list[str], order: list[str], largest: bool = False) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
     out = df.groupBy(*keys).agg((F.max if largest else F.min)(packed).alias("__row"))
@@ -72,8 +52,7 @@ def latest_per_group(df: DataFrame, keys: list[str], order_desc: list[str]) -> D
 
     ``max(struct(order..., rest...))``: ties on the order columns are broken by
     the remaining columns, so the pick is total.  Same plan as
-    :func:`dedup_keep_one`: groups with a single row skip the aggregate, the
-    repeated ones get a partial aggregate that keeps hot keys cheap.
+    :func:`dedup_keep_one`: a partial aggregate keeps hot keys cheap.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_desc]
     return dedup_keep_one(df, keys, order_desc + rest, largest=True)
@@ -241,9 +220,13 @@ def mode_per_group(df: DataFrame, keys: list[str], column: str, alias: str | Non
 
 
 def modes_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Mode of several columns per group, one row per key (AGG-7)."""
-    parts = [mode_per_group(df, keys, c) for c in columns]
-    return reduce(lambda a, b: a.join(b, keys, "full"), parts)
+    """Mode of several columns per group, one row per key, a NULL key included (AGG-7)."""
+    def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+        right = b.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+        on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+        rest = [c for c in a.columns + b.columns if c not in keys]
+        return a.join(right, on, "full").select(*[F.coalesce(k, f"__r_{k}").alias(k) for k in keys], *rest)
+    return reduce(joined, [mode_per_group(df, keys, c) for c in columns])
 
 
 def value_counts(df: DataFrame, column: str, alias: str = "n") -> DataFrame:

@@ -466,12 +466,12 @@ def _(c):
 @q("jn_14_dictionary_lookup", stage_ctes("mart_player") + """,
 lut AS (SELECT start_position,
                CASE row_number() OVER (ORDER BY AVG(performance_score_match) DESC NULLS LAST, start_position)
-                    WHEN 1 THEN 'Stars' WHEN 2 THEN 'Lieutenants' WHEN 3 THEN 'Rotation' END AS profil_label
+                    WHEN 1 THEN 'Stars' WHEN 2 THEN 'Lieutenants' WHEN 3 THEN 'Rotation' WHEN 4 THEN 'Others' END AS profil_label
         FROM mart_player GROUP BY start_position)
 SELECT m.start_position, m.game_id, m.player_id, m.performance_score_match, lut.profil_label
 FROM mart_player m LEFT JOIN lut USING (start_position)""")
 def _(c):
-    """Value -> label through a k-row ranked lookup table, broadcast (k labels: a structural bound)."""
+    """Value -> label through a k-row ranked lookup table; the four positions take four labels."""
     from ..operators import ml as M
     rows = c.mart_player.select("game_id", "player_id", "start_position", "performance_score_match")
-    return M.name_clusters(rows, "start_position", "performance_score_match")
+    return M.name_clusters(rows, "start_position", "performance_score_match", labels=[*M.PROFILE_LABELS, "Others"])

@@ -71,9 +71,9 @@ SELECT
        WHEN o_orderkey % 4 = 2 THEN CAST(43600 + o_orderkey % 1700 AS STRING)
        WHEN o_orderkey % 4 = 1 THEN {_date_text('gd', ENGLISH_MONTHS)}
        ELSE {_date_text('gd', FRENCH_MONTHS)} END AS GAME_DATE,
-  CASE WHEN o_orderkey % 53 = 7 THEN concat('FFS - T', CAST(o_custkey % 29 AS STRING))
-       WHEN o_orderkey % 2 = 0 THEN concat('FFS vs. T', CAST(o_custkey % 29 AS STRING))
-       ELSE concat('FFS @ T', CAST(o_custkey % 29 AS STRING)) END AS MATCHUP,
+  CASE WHEN o_orderkey % 53 = 7 THEN concat('HOM - T', CAST(o_custkey % 29 AS STRING))
+       WHEN o_orderkey % 2 = 0 THEN concat('HOM vs. T', CAST(o_custkey % 29 AS STRING))
+       ELSE concat('HOM @ T', CAST(o_custkey % 29 AS STRING)) END AS MATCHUP,
   CASE WHEN o_orderstatus = 'F' THEN 'W' ELSE 'L' END AS WL,
   CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS W,
   CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS L,
@@ -105,7 +105,6 @@ RAW_BOXSCORES_SQL = """
 SELECT o_orderkey + 1 AS GAME_ID,
        CAST(o_orderkey % 41 - 20 AS STRING) AS PLUS_MINUS
 FROM {orders}
-WHERE o_orderstatus <> 'P'
 """
 
 RAW_STATS_SQL = """
@@ -146,33 +145,32 @@ SELECT
 FROM {lineitem}
 """
 
-# One training session per (order, supplier, line); (order, line) alone is not
-# unique in the supplied data, so the three keys together name the session.
+# One training session per lineitem row, named by its order, supplier, line, part and day.
 RAW_SESSIONS_SQL = """
 SELECT
-  concat('S', CAST(l_orderkey AS STRING), '-', CAST(l_suppkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS SESSION_ID,
-  CASE WHEN min(l_partkey) % 61 = 17 THEN NULL ELSE CAST(l_suppkey + 1 AS STRING) END AS PLAYER_ID,
+  concat('S', CAST(l_orderkey AS STRING), '-', CAST(l_suppkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING),
+         '-', CAST(CAST(l_shipdate AS DATE) AS STRING)) AS SESSION_ID,
+  CASE WHEN l_partkey % 61 = 17 THEN NULL ELSE CAST(l_suppkey + 1 AS STRING) END AS PLAYER_ID,
   CAST(l_orderkey + 1 AS STRING) AS NEXT_MATCH_ID,
-  CAST(CAST(min(l_shipdate) + INTERVAL 24 YEAR AS TIMESTAMP) AS STRING) AS SESSION_DATE,
-  CASE WHEN min(l_partkey) % 71 = 3 THEN NULL ELSE 30 + 2 * min(l_quantity) END AS DURATION_MIN,
-  CASE WHEN min(l_partkey) % 9 = 4 THEN NULL ELSE CAST(120 + min(l_partkey) % 60 AS DOUBLE) END AS HEART_RATE,
-  CASE WHEN min(l_partkey) % 11 = 2 THEN NULL ELSE CAST(40 + min(l_partkey) % 55 AS DOUBLE) END AS STRENGTH_SCORE,
-  CASE WHEN min(l_partkey) % 13 = 6 THEN NULL ELSE CAST(30 + min(l_partkey) % 61 AS DOUBLE) END AS {shoot_col},
-  CASE WHEN min(l_partkey) % 17 = 8 THEN NULL ELSE CAST(50 + min(l_partkey) % 45 AS DOUBLE) END AS {pass_col},
-  CASE WHEN min(l_partkey) % 19 = 1 THEN NULL ELSE CAST(1 + min(l_partkey) % 10 AS DOUBLE) END AS FOCUS_LEVEL,
-  CASE WHEN min(l_partkey) % 47 = 4 THEN NULL ELSE CAST(4 + min(l_partkey) % 12 AS DOUBLE) END AS WEEKLY_TRAINING_HOURS,
-  CASE WHEN min(l_partkey) % 8 = 5 THEN NULL ELSE CAST(floor(min(l_quantity) * 2 / 5) AS DOUBLE) / 2 END AS LOAD_INTENSITY_SCORE,
-  CASE WHEN min(l_partkey) % 10 = 7 THEN NULL ELSE CAST(45 + min(l_partkey) % 50 AS DOUBLE) END AS PERFORMANCE_SCORE,
-  CASE min(l_partkey) % 6 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' WHEN 3 THEN NULL
+  CAST(CAST(l_shipdate + INTERVAL 24 YEAR AS TIMESTAMP) AS STRING) AS SESSION_DATE,
+  CASE WHEN l_partkey % 71 = 3 THEN NULL ELSE 30 + 2 * l_quantity END AS DURATION_MIN,
+  CASE WHEN l_partkey % 9 = 4 THEN NULL ELSE CAST(120 + l_partkey % 60 AS DOUBLE) END AS HEART_RATE,
+  CASE WHEN l_partkey % 11 = 2 THEN NULL ELSE CAST(40 + l_partkey % 55 AS DOUBLE) END AS STRENGTH_SCORE,
+  CASE WHEN l_partkey % 13 = 6 THEN NULL ELSE CAST(30 + l_partkey % 61 AS DOUBLE) END AS {shoot_col},
+  CASE WHEN l_partkey % 17 = 8 THEN NULL ELSE CAST(50 + l_partkey % 45 AS DOUBLE) END AS {pass_col},
+  CASE WHEN l_partkey % 19 = 1 THEN NULL ELSE CAST(1 + l_partkey % 10 AS DOUBLE) END AS FOCUS_LEVEL,
+  CASE WHEN l_partkey % 47 = 4 THEN NULL ELSE CAST(4 + l_partkey % 12 AS DOUBLE) END AS WEEKLY_TRAINING_HOURS,
+  CASE WHEN l_partkey % 8 = 5 THEN NULL ELSE CAST(floor(l_quantity * 2 / 5) AS DOUBLE) / 2 END AS LOAD_INTENSITY_SCORE,
+  CASE WHEN l_partkey % 10 = 7 THEN NULL ELSE CAST(45 + l_partkey % 50 AS DOUBLE) END AS PERFORMANCE_SCORE,
+  CASE l_partkey % 6 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' WHEN 3 THEN NULL
        WHEN 4 THEN 'Low' ELSE 'Unknown' END AS FATIGUE_LEVEL,
-  CASE WHEN min(l_partkey) % 43 = 1 THEN NULL
-       WHEN (min(l_partkey) + max(l_linenumber)) % 8 = 0 OR min(l_quantity) > 46 THEN 1 ELSE 0 END AS INJURY_RISK,
-  CASE WHEN min(l_partkey) % 37 = 3 THEN NULL
-       WHEN (min(l_partkey) + max(l_linenumber)) % 8 = 0 THEN 'High' ELSE 'Low' END AS INJURY_RISK_LEVEL,
-  CASE WHEN min(l_partkey) % 67 = 5 THEN NULL ELSE 12 + min(l_quantity) END AS RECOVERY_TIME_HOURS,
-  CASE WHEN min(l_partkey) % 73 = 9 THEN NULL ELSE l_linenumber END AS DAYS_BEFORE_MATCH
+  CASE WHEN l_partkey % 43 = 1 THEN NULL
+       WHEN (l_partkey + l_linenumber) % 8 = 0 OR l_quantity > 46 THEN 1 ELSE 0 END AS INJURY_RISK,
+  CASE WHEN l_partkey % 37 = 3 THEN NULL
+       WHEN (l_partkey + l_linenumber) % 8 = 0 THEN 'High' ELSE 'Low' END AS INJURY_RISK_LEVEL,
+  CASE WHEN l_partkey % 67 = 5 THEN NULL ELSE 12 + l_quantity END AS RECOVERY_TIME_HOURS,
+  CASE WHEN l_partkey % 73 = 9 THEN NULL ELSE l_linenumber END AS DAYS_BEFORE_MATCH
 FROM {lineitem}
-GROUP BY l_orderkey, l_suppkey, l_linenumber
 """
 
 # name -> (sql text, supplied tables it reads)

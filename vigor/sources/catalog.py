@@ -16,39 +16,12 @@ def table_path(base_dir: str, name: str) -> str:
     return os.path.join(base_dir, f"{name}.parquet")
 
 
-SPREAD_MIN_BYTES = 4 << 20   # below this, one task is as fast as a shuffle
-
-
-def _bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
-def load(spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None,
-         min_splits: int | None = None) -> DataFrame:
+def load(spark: SparkSession, base_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """Read ``<base_dir>/<name>.parquet``.
 
     Passing ``columns`` prunes at the scan (the plan shows a narrow
     ``ReadSchema``); Catalyst would also prune later projections on its own.
-
-    An input that arrives in fewer splits than the cluster has cores (one
-    file holding a single row group) would run every per-row step before the
-    first shuffle in one task; such an input, if it holds at least
-    ``SPREAD_MIN_BYTES``, is spread round-robin over ``min_splits`` partitions
-    (default: the default parallelism).  Inputs already split wider -- any
-    large table -- are left alone, so no extra shuffle is ever added at
-    scale.  Pruning and filters still reach the scan.
+    The scan's splits are used as they come: no shuffle is added.
     """
-    path = table_path(base_dir, name)
-    df = spark.read.parquet(path)
-    if columns:
-        df = df.select(*columns)
-    want = min_splits or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want and _bytes(spark, path) >= SPREAD_MIN_BYTES:
-        df = df.repartition(want)
-    return df
-
-
-def load_many(spark: SparkSession, base_dir: str, names=SUPPLIED_TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, base_dir, n) for n in names}
+    df = spark.read.parquet(table_path(base_dir, name))
+    return df.select(*columns) if columns else df

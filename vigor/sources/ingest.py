@@ -30,7 +30,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
 
 
 def _blank_to_null(c: str):
-    return F.nullif(F.trim(F.col(f"`{c}`")), F.lit(""))
+    """Blank text and the text NaN are missing values."""
+    text = F.trim(F.col(f"`{c}`"))
+    return F.when((text != "") & (F.lower(text) != "nan"), text)
 
 
 def narrowing_decisions(df: DataFrame) -> DataFrame:
@@ -58,8 +60,9 @@ def narrow_types(df: DataFrame) -> DataFrame:
     bringing them to the driver to build the projection is metadata, not data.
     """
     types = {r.column_name: r.decided_type for r in narrowing_decisions(df).collect()}
-    return df.select(*[(_blank_to_null(c) if types[c] == "string" else _blank_to_null(c).cast(types[c])).alias(c)
-                       for c in df.columns])
+    made = {"string": lambda v: v, "double": lambda v: v.cast("double"),
+            "bigint": lambda v: F.coalesce(v.try_cast("bigint"), F.round(v.cast("double")).cast("bigint"))}  # 1.0, 1e2
+    return df.select(*[made[types[c]](_blank_to_null(c)).alias(c) for c in df.columns])
 
 
 def skip_if_empty(df: DataFrame) -> DataFrame | None:
