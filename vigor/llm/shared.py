@@ -36,12 +36,13 @@ def input_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str, per: list[str] | None = None) -> DataFrame:
+def global_rank(df: DataFrame, order: list[Column], name: str, per: list[str] | None = None, total: str | None = None) -> DataFrame:
     """Add ``name``: the 0-based rank in the total order ``order``, without bringing all rows to one task.
 
     Rows are range-partitioned and stored (so the split is fixed), numbered inside each partition, and shifted by
     the row counts of the partitions before: one row per partition, whatever the input.  With ``per`` (leading
-    columns of the order) the rank restarts with every group; a group may span any number of partitions.
+    columns of the order) the rank restarts with every group; a group may span any number of partitions.  ``total``
+    names a column for the rows of the group.
     """
     ranged = df.repartitionByRange(input_partitions(df), *order).withColumn("_part", F.spark_partition_id())
     ranged = stored(ranged, "ranked")
@@ -50,14 +51,15 @@ def global_rank(df: DataFrame, order: list[Column], name: str, per: list[str] |
     counts = ranged.groupBy("_part", *per).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*per) if per else Window.partitionBy(F.lit(0))
     shift = counts.withColumn("_before", F.coalesce(
-        F.sum("_n").over(before.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        F.sum("_n").over(before.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("_total", F.sum("_n").over(before))
     left = ranged.withColumn("_inside", F.row_number().over(inside) - 1).alias("l")
     right = shift.drop("_n").alias("r")
     on = F.col("l._part") == F.col("r._part")
     for c in per:
         on &= F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
     return left.join(right, on).select(*[F.col(f"l.{c}") for c in df.columns],
-                                       (F.col("_inside") + F.col("_before")).alias(name))
+                                       (F.col("_inside") + F.col("_before")).alias(name),
+                                       *([F.col("_total").alias(total)] if total else []))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
