@@ -53,12 +53,13 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "") -> DataFram
 
 def hash_split(df: DataFrame, key_cols: list[str], test_fraction: float = 0.2, seed: int = 42,
                flag: str = "is_test") -> DataFrame:
-    """Reproducible train/test flag from a hash of the row key (ML-3).
+    """Reproducible train/test flag from the MD5 of the row key and seed (ML-3).
 
     Unlike ``randomSplit`` the assignment does not depend on partitioning or
     on re-computation after an executor loss.
     """
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key_cols], F.lit(seed)), F.lit(10000))
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key_cols])
+    bucket = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long") % 10000
     return df.withColumn(flag, bucket < F.lit(int(round(test_fraction * 10000))))
 
 

@@ -10,7 +10,7 @@ from ..operators import relational as R
 from ..operators import sinks as S
 from ..sources import ingest as I
 from . import pipelines as P
-from .oracle import stage_ctes
+from .oracle import pipeline_sql, stage_ctes
 from .registry import q, raw_sql
 
 # ------------------------------------------------------------------ sources / sinks
@@ -171,9 +171,11 @@ def _(c):
     return S.scd2_snapshot(h1, c.dim_players, "player_id", cols, SNAP_T2)
 
 
-@q("snk_7_load_timestamp")
+@q("snk_7_load_timestamp", pipeline_sql("int_fatigue_index", "SELECT *, true AS has_updated_at FROM int_fatigue_index"))
 def _(c):
-    return S.with_load_timestamp(c.fatigue)
+    """The stored columns as they are, and a load time on every row (its value differs from run to run)."""
+    out = S.with_load_timestamp(c.fatigue)
+    return out.select(*c.fatigue.columns, F.col("updated_at").isNotNull().alias("has_updated_at"))
 
 
 # ------------------------------------------------------------------ projections

@@ -39,7 +39,9 @@ def _(c):
     return z.select("player_id", *[X.round_half_up(f + "_z", 8).alias(f + "_z") for f in _PF])
 
 
-@q("ml_3_reproducible_split")
+@q("ml_3_reproducible_split", stage_ctes("stg_training_sessions") + """
+SELECT session_id, injury_risk, CAST('0x' || substr(md5('42|' || session_id), 1, 8) AS BIGINT) % 10000 < 2000 AS is_test
+FROM stg_training_sessions""")
 def _(c):
     return M.hash_split(c.stg_sessions.select("session_id", "injury_risk"), ["session_id"], 0.2, 42)
 
