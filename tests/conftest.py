@@ -1,3 +1,4 @@
+import contextlib
 import os
 import sys
 
@@ -15,6 +16,22 @@ def spark():
     yield s
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """A context in which every join of a plan made and run inside it is shuffled."""
+    @contextlib.contextmanager
+    def off():
+        names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+        for n in names:
+            spark.conf.set(n, "-1")
+        try:
+            yield
+        finally:
+            for n in names:
+                spark.conf.unset(n)
+    return off
+
+
 @pytest.fixture(scope="session")
 def duck():
     import duckdb

@@ -36,9 +36,8 @@ def test_rolling_stats_join_is_not_a_window_over_raw_rows(spark):
     from vigor.operators import relational as R
     from vigor.sources.catalog import load
     ev = load(spark, SF_SMALL, "events", ["user_id", "ts", "value"]).withColumn("day", F.unix_date(F.to_date("ts")))
-    # broadcast_rows=-1: no broadcast, the shuffle-join fallback a huge daily table would get
-    df = R.rolling_day_stats(ev, "user_id", "day", [("avg", "value", "a{n}")], (7,), broadcast_rows=-1)
-    text = _plan(df)     # the executed plan also prints the plan of the persisted window stats
+    df = R.rolling_day_stats(ev, "user_id", "day", [("avg", "value", "a{n}")], (7,))
+    text = _plan(df)
     window_at = text.index("Window [")
     assert "HashAggregate(keys=[user_id" in text[window_at:]
     assert "SinglePartition" not in _plan(df)

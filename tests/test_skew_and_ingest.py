@@ -1,4 +1,4 @@
-"""Hot keys (a third of all rows on one key), fallbacks above the broadcast bound, ingest narrowing."""
+"""Hot keys (a third of all rows on one key), shuffle joins, table versions, ingest narrowing."""
 
 import datetime as dt
 
@@ -44,18 +44,20 @@ def test_dedup_starts_no_job_and_caches_nothing(spark):
     assert "InMemoryRelation" not in plan
 
 
-def test_rolling_stats_hot_entity_both_join_paths(spark):
+def test_rolling_stats_hot_entity_both_join_paths(spark, no_broadcast):
     df = _hot(spark).withColumn("day", F.unix_date("d"))
     specs = [("avg", "x", "a{n}"), ("max", "x", "m{n}"), ("sum", "x", "s{n}")]
     a = R.rolling_day_stats(df, "k", "day", specs, (7, 28))
-    b = R.rolling_day_stats(df, "k", "day", specs, (7, 28), broadcast_rows=-1)
-    assert _rows(a) == _rows(b) and a.count() == 3000
+    hinted = _rows(a)
+    with no_broadcast():
+        assert _rows(R.rolling_day_stats(df, "k", "day", specs, (7, 28))) == hinted and len(hinted) == 3000
 
 
-def test_impute_fallback_shuffle_join_is_null_safe(spark):
+def test_impute_shuffle_join_is_null_safe(spark, no_broadcast):
     rows = [(1, None, 10.0), (2, None, None), (3, 20, 4.0), (4, 20, None)]
     df = spark.createDataFrame(rows, "id long, age long, h double")
-    got = dict((r.id, r.h2) for r in R.impute_group_mean(df, ["age"], {"h2": "h"}, broadcast_rows=-1).collect())
+    with no_broadcast():
+        got = dict((r.id, r.h2) for r in R.impute_group_mean(df, ["age"], {"h2": "h"}).collect())
     assert got == {1: 10.0, 2: 10.0, 3: 4.0, 4: 4.0}
 
 
@@ -136,12 +138,45 @@ def test_every_order_has_a_box_score(spark):
     assert sessions.count() == catalog.load(spark, SF_SMALL, "lineitem").count() == sessions.select("SESSION_ID").distinct().count()
 
 
-def test_release_keeps_user_caches(spark):
-    from vigor.operators.joins import bounded_broadcast, release_persisted
-    mine = spark.range(50).withColumn("x", F.col("id") * 3).cache()
-    mine.count()
-    side = bounded_broadcast(spark.range(10).withColumn("y", F.col("id")))
-    assert side.count() == 10
-    release_persisted()
-    assert mine.storageLevel.useMemory            # the caller's cache is untouched
-    mine.unpersist()
+@pytest.mark.parametrize("make", [
+    lambda df: R.dedup_keep_one(df, ["k"]),
+    lambda df: R.impute_group_mean(df, ["k"], {"x2": "x"}),
+    lambda df: R.with_global_max(df, "x", "m"),
+    lambda df: R.rolling_day_stats(df.withColumn("day", F.unix_date("d")), "k", "day", [("avg", "x", "a{n}")], (7,)),
+])
+def test_operators_start_no_job_and_cache_nothing(spark, make):
+    df = _hot(spark)
+    group = f"lazy-{id(make)}"
+    spark.sparkContext.setJobGroup(group, "plan only")
+    plan = make(df)._jdf.queryExecution().optimizedPlan().toString()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert "InMemoryRelation" not in plan and not jobs
+
+
+def test_changed_input_is_a_new_run(spark, tmp_path):
+    from vigor.plans.registry import Ctx
+    path = tmp_path / "orders.parquet"
+    spark.range(3).write.parquet(str(path))
+    before = Ctx(spark, str(tmp_path)).run_key
+    assert Ctx(spark, str(tmp_path)).run_key == before
+    spark.range(4).write.mode("append").parquet(str(path))
+    assert Ctx(spark, str(tmp_path)).run_key != before
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    from vigor.operators import sinks as S
+    path = str(tmp_path / "t")
+    df = spark.range(3)
+    S.write_table(df, path)
+    version = S.next_version(spark, path)
+    S.write_table(df.limit(1), path, version=version)
+    with pytest.raises(S.VersionTakenError):
+        S.write_table(df, path, version=version)
+    assert S.read_table(spark, path).count() == 1
+    failing = df.select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        S.write_table(failing, path)
+    assert S.read_table(spark, path).count() == 1         # a failed write leaves the table as it was
+    S.upsert_table(df, path, ["id"])
+    assert S.read_table(spark, path).count() == 3

@@ -19,9 +19,9 @@ __all__ = [
     "round_half_up", "split_part_num", "minutes_decimal", "parse_month_name_date", "excel_serial_date",
     "parse_game_date", "season_bucket", "DEFAULT_SEASON_BOUNDS", "home_away", "opponent",
     "date_parts", "day_number", "performance_score", "per_minute", "heart_rate_norm", "ordinal_level_norm",
-    "recovery_score", "least_strict", "greatest_strict", "fatigue_index", "fatigue_band", "recovery_needed_hours",
+    "recovery_score", "least_strict", "fatigue_index", "fatigue_band", "recovery_needed_hours",
     "residual_before_match", "acute_chronic_ratio", "intensity_reduction", "alert_flag", "position_from_height",
-    "is_blank", "exact_sum",
+    "is_blank",
 ]
 
 
@@ -76,15 +76,6 @@ def round_half_up(c, scale: int = 2) -> Column:
     return F.round(col_(c).cast("decimal(20,8)"), scale).cast("double")
 
 
-def exact_sum(c) -> Column:
-    """Sum of a floating column that does not depend on partitioning/order.
-
-    Each term is fixed to 10 decimals and added as a DECIMAL, so every
-    shuffle layout yields the same double.
-    """
-    return F.sum(col_(c).cast("decimal(28,10)")).cast("double")
-
-
 # --- FN-4 / FN-5: clock text -------------------------------------------------------
 
 def split_part_num(c, delimiter: str, part: int) -> Column:
@@ -214,12 +205,6 @@ def least_strict(*cols) -> Column:
     return F.when(~any_null, F.least(*cols))
 
 
-def greatest_strict(*cols) -> Column:
-    cols = [col_(c) for c in cols]
-    any_null = reduce(lambda a, b: a | b, [c.isNull() for c in cols])
-    return F.when(~any_null, F.greatest(*cols))
-
-
 # Weights of the fatigue index (internal 30 % = 60/40 heart
 # rate/fatigue level, external 40 % = 70/30 intensity/weekly volume, recovery 30 %).
 FI_WEIGHTS = {"internal": 0.30, "hr": 0.6, "fatigue": 0.4,

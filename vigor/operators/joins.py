@@ -1,41 +1,15 @@
-"""Join helpers (JN-*): size-checked broadcast, key-cast joins, existence joins."""
+"""Join helpers (JN-*): key-cast joins, existence joins, stored stages.
+
+No join here carries a broadcast hint: Spark broadcasts a side from its
+measured bytes (statically or, under AQE, from finished shuffle files), and
+splits a skewed partition of the joins that stay shuffled.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it is *proven* to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-# DataFrames this library persisted, so they can be released without touching
-# caches the caller made in the same session.
-_PERSISTED: list[DataFrame] = []
-
-
-def persist_tracked(df: DataFrame) -> DataFrame:
-    """Persist (memory, spilling to disk; lost blocks are recomputed from lineage) and remember it."""
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
-
-
-def release_persisted() -> None:
-    """Unpersist everything :func:`persist_tracked` persisted (e.g. once a stage is written)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
-
-    Reliable ``checkpoint()`` writes to ``spark.checkpoint.dir`` (a shared
-    folder on a cluster), so a lost executor does not force a recompute of
-    the whole upstream plan.
-    """
-    return df.checkpoint(eager=True)
-
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet to ``path`` (a shared folder) and read it back.
@@ -52,28 +26,6 @@ def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)   # schema known: no footer-inference job
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The side is persisted (memory, spilling to disk; lost blocks are
-    recomputed from lineage) and counted, so its size is known exactly and
-    the join that follows reuses the cached rows instead of recomputing them.
-    Above the bound the caller gets the same persisted rows without the hint:
-    Spark plans a shuffle join (AQE may still convert it at run time from
-    measured sizes, and splits skewed partitions), and the side is not
-    computed a second time.
-    """
-    small = persist_tracked(df)
-    if small.count() <= max_rows:   # one job: computes, caches and measures the side
-        return F.broadcast(small)
-    return small
-
-
-def scalar_broadcast(one_row: DataFrame) -> DataFrame:
-    """Broadcast a global aggregate (exactly one row: the bound is structural)."""
-    return F.broadcast(one_row)
-
-
 def join_on_cast_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                       type_: str = "bigint", how: str = "inner") -> DataFrame:
     """Equi-join after safe-casting both keys (JN-2); keys are cast once, in a projection."""
@@ -85,17 +37,3 @@ def join_on_cast_keys(left: DataFrame, right: DataFrame, left_key: str, right_ke
 def exists_in(df: DataFrame, other: DataFrame, on) -> DataFrame:
     """Rows of ``df`` with a match in ``other`` (JN-9): a left-semi join, no fan-out."""
     return df.join(other, on, "left_semi")
-
-
-def not_in(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """Rows of ``df`` without a match in ``other`` (SRC-5): a left-anti join."""
-    return df.join(other, on, "left_anti")
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """``l.k <=> r.k AND ...`` join condition (NULL keys match each other)."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond

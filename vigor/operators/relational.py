@@ -22,8 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col_, exact_sum, round_half_up
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, null_safe_keys, persist_tracked
+from ..functions.exprs import col_, round_half_up
 
 # --------------------------------------------------------------------------- WIN-1/2
 
@@ -68,23 +67,21 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int)
 
 
 def impute_group_mean(df: DataFrame, segment: list[str], columns: dict[str, str],
-                      source: dict[str, Column] | None = None, broadcast_rows: int = 200_000) -> DataFrame:
+                      source: dict[str, Column] | None = None) -> DataFrame:
     """``coalesce(x, avg(raw_x) over (partition by segment))`` for each column (WIN-4, WIN-5).
 
     ``columns`` maps output name -> column holding the value to keep when not
     NULL; ``source`` optionally maps output name -> the column that is averaged
     (default: the same column).  NULL segment values form one group (T30).
-    The means are a ``groupBy`` (one row per segment, broadcast when the
-    segment count is proven small) joined back null-safely.
+    The means are a ``groupBy`` (one row per segment) joined back null-safely.
+    The input is read twice, the first time only its segment and measure
+    columns; nothing is persisted and no job is started here.
     """
     source = source or {}
-    tmp = _persisted(df)        # read twice: segment means, then the rows
-    avg_cols = {}
-    tmp = tmp.select("*", *[source.get(out, F.col(keep)).cast("double").alias(f"__src_{out}")
+    tmp = df.select("*", *[source.get(out, F.col(keep)).cast("double").alias(f"__src_{out}")
                             for out, keep in columns.items()])
     avg_cols = {out: f"__src_{out}" for out in columns}
     means = tmp.groupBy(*segment).agg(*[F.avg(n).alias(f"__mean_{o}") for o, n in avg_cols.items()])
-    means = bounded_broadcast(means, broadcast_rows)
     means = means.select(*[F.col(s).alias(f"__seg_{s}") for s in segment],
                          *[F.col(f"__mean_{o}") for o in columns])
     cond = reduce(lambda a, b: a & b, [tmp[s].eqNullSafe(means[f"__seg_{s}"]) for s in segment])
@@ -98,18 +95,15 @@ def impute_group_mean(df: DataFrame, segment: list[str], columns: dict[str, str]
 # --------------------------------------------------------------------------- WIN-6
 
 
-def with_global_max(df: DataFrame, column: str, alias: str, persist_input: bool = False) -> DataFrame:
+def with_global_max(df: DataFrame, column: str, alias: str, of: DataFrame | None = None) -> DataFrame:
     """``max(c) over ()`` beside every row (WIN-6) as scalar aggregate + broadcast.
 
     An empty ``over()`` plans ``Exchange SinglePartition``: every row goes
     through one task.  A one-row aggregate broadcast to all tasks does not.
-    With ``persist_input`` the input (typically a large join) is persisted
-    (memory and disk, recomputable from lineage) so the aggregate and the rows
-    read one computation instead of two.
+    ``of`` names a narrower frame with the same maximum, where ``df`` is a wide
+    join that need not be built twice.
     """
-    if persist_input:
-        df = _persisted(df)
-    one = df.agg(F.max(column).alias(alias))
+    one = (df if of is None else of).agg(F.max(column).alias(alias))
     return df.crossJoin(F.broadcast(one))
 
 
@@ -117,7 +111,7 @@ def with_global_max(df: DataFrame, column: str, alias: str, persist_input: bool
 
 
 def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tuple],
-                      windows: tuple[int, ...] = (7, 28), broadcast_rows: int = 200_000) -> DataFrame:
+                      windows: tuple[int, ...] = (7, 28)) -> DataFrame:
     """Trailing day-range statistics per entity (WIN-7, WIN-8, WIN-9).
 
     Each output is ``agg(x) over (partition by entity order by day
@@ -128,10 +122,10 @@ def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tupl
 
     Plan: rows -> partial aggregate per (entity, day) -> range windows over
     the daily rows (one small partition per entity) -> join back on
-    (entity, day).  Sums are exact decimals, so results do not depend on the
+    (entity, day).  The daily pass reads the entity, day and value columns
+    only.  Sums are exact decimals, so results do not depend on the
     partitioning.
     """
-    df = _persisted(df)         # read twice: per-day aggregates, then the rows
     day = F.col(day_col)
     aggs = []
     for kind, value, _ in specs:
@@ -161,21 +155,11 @@ def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tupl
             else:
                 cols.append(F.sum(f"__t_{key}").over(w).cast("double").alias(out))
     stats = daily.select(entity, "__day", *cols)
-    stats = bounded_broadcast(stats, broadcast_rows)
     out_names = [c for c in stats.columns if c not in (entity, "__day")]
     base = df.drop(*[c for c in out_names if c in df.columns]).withColumn("__day", day)
     return base.join(stats, [entity, "__day"], "left").drop("__day")
 
 
-def _persisted(df: DataFrame) -> DataFrame:
-    """Persist an input that a multi-pass operator reads more than once.
-
-    Memory first, spilling to disk; a lost block is recomputed from lineage.
-    The upstream (often a shuffle join) then runs once instead of per pass.
-    """
-    return df if df.storageLevel.useMemory or df.storageLevel.useDisk else persist_tracked(df)
-
-
 def _spec_key(kind: str, value) -> str:
     return f"{kind}_{value if isinstance(value, str) else abs(hash(str(value)))}"
 
@@ -190,13 +174,6 @@ def _dedup_aggs(aggs):
     return out
 
 
-def rolling_day_window_plain(df: DataFrame, entity: str, day_col: str, value: str, n: int, kind: str = "avg") -> DataFrame:
-    """Reference form of a day-range window (one partition per entity), kept for tests."""
-    w = Window.partitionBy(entity).orderBy(F.col(day_col)).rangeBetween(-n, 0)
-    fn = {"avg": F.avg, "max": F.max, "sum": F.sum}[kind]
-    return df.withColumn(f"{kind}_{n}d", fn(value).over(w))
-
-
 # --------------------------------------------------------------------------- AGG-*
 
 

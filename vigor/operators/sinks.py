@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +22,10 @@ class DuplicateKeyError(ValueError):
     pass
 
 
+class VersionTakenError(RuntimeError):
+    pass
+
+
 # ------------------------------------------------------------------ key checks
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,23 +105,39 @@ def scd2_snapshot(history: DataFrame | None, current: DataFrame, key: str, check
 
 # ------------------------------------------------------------------ versioned tables (SNK-1/2/4/6)
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _numbered(spark: SparkSession, path: str, prefix: str) -> set[int]:
+    fs, p = file_system(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return {int(n[len(prefix):]) for n in names if n.startswith(prefix)}
+
+
 def table_versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a table folder, oldest first."""
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    fs, _ = file_system(spark, path)
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    made = _numbered(spark, path, "v=") - _numbered(spark, path, "_abandoned=")
+    return sorted(n for n in made if fs.exists(done(f"{path}/v={n}/_SUCCESS")))
+
+
+def next_version(spark: SparkSession, path: str) -> int:
+    """One past the newest complete or abandoned version."""
+    return max([*table_versions(spark, path), *_numbered(spark, path, "_abandoned=")], default=0) + 1
+
+
+def _mark(spark: SparkSession, path: str, name: str) -> None:
+    fs, marker = file_system(spark, f"{path}/{name}")
+    fs.create(marker, False).close()
+
+
+def abandon(spark: SparkSession, path: str, version: int) -> None:
+    """Give up a version whose writer failed, so that the next one can be written."""
+    _mark(spark, path, f"_abandoned={version}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -125,15 +146,30 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v={vs[-1]}") if vs else None
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Full refresh with schema replacement (SNK-1, SNK-2): write the next version."""
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, version: int | None = None) -> str:
+    """Full refresh with schema replacement (SNK-1, SNK-2): write the next version.
+
+    ``version`` is the one to make (default: the next).  Its ``_claim`` marker
+    is created exclusively: of two writers of one version the second gets
+    ``VersionTakenError`` and has to merge again on what the first wrote.  A
+    write that fails abandons its version; after a driver's death call
+    :func:`abandon`.
+    """
     spark = df.sparkSession
-    vs = table_versions(spark, path)
-    target = f"{path}/v={(vs[-1] + 1) if vs else 1}"
-    w = df.write.mode("overwrite")
+    version = version or next_version(spark, path)
+    try:
+        _mark(spark, path, f"_claim={version}")
+    except Py4JJavaError as e:
+        raise VersionTakenError(f"{path}: version {version} was claimed by another job") from e
+    target = f"{path}/v={version}"
+    w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(target)
+    try:
+        w.parquet(target)
+    except Exception:
+        abandon(spark, path, version)
+        raise
     return target
 
 
@@ -144,14 +180,16 @@ def create_if_absent(df: DataFrame, path: str) -> str | None:
 
 def upsert_table(source: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> str:
     """Incremental model with a unique key (SNK-4/5): merge into the current version."""
+    version = next_version(source.sparkSession, path)
     current = read_table(source.sparkSession, path)
-    return write_table(upsert(current, source, keys), path, partition_by)
+    return write_table(upsert(current, source, keys), path, partition_by, version)
 
 
 def snapshot_table(current: DataFrame, path: str, key: str, check_cols: list[str], as_of) -> str:
     """Run one snapshot step against the stored history (SNK-6)."""
+    version = next_version(current.sparkSession, path)
     history = read_table(current.sparkSession, path)
-    return write_table(scd2_snapshot(history, current, key, check_cols, as_of), path)
+    return write_table(scd2_snapshot(history, current, key, check_cols, as_of), path, version=version)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -1,9 +1,8 @@
 """End-to-end pipelines PL-1 ... PL-11 (staging -> fatigue index -> marts).
 
 Each function takes DataFrames and returns a lazy DataFrame; nothing is
-collected.  Column names are lower-case snake case.  The only physical
-hints are size-checked broadcasts of dimension-like sides; every other join
-is a shuffle join that Spark/AQE plans from the keys.
+collected.  Column names are lower-case snake case.  No join carries a hint:
+Spark plans it from the keys and the measured size of its sides.
 """
 
 from __future__ import annotations
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import relational as R
-from ..operators.joins import bounded_broadcast, exists_in, join_on_cast_keys
+from ..operators.joins import exists_in, join_on_cast_keys
 
 # ---------------------------------------------------------------- PL-1 stg_players
 
@@ -136,8 +135,7 @@ IMPUTED_SESSION_MEASURES = {
 
 def stg_training_sessions(raw: DataFrame, players: DataFrame, season_bounds=None) -> DataFrame:
     """Sessions enriched with the player's age/position, filtered, imputed by (age, position) (PL-4)."""
-    pi = bounded_broadcast(players.select(F.col("player_id").alias("__pid"), F.col("age").alias("__age"),
-                                          F.col("position").alias("__pos")))
+    pi = players.select(F.col("player_id").alias("__pid"), F.col("age").alias("__age"), F.col("position").alias("__pos"))
     d = raw.withColumn("__player", X.safe_cast("PLAYER_ID", "bigint"))
     j = d.join(pi, d["__player"] == pi["__pid"], "left")  # JN-4; the filter below makes it inner (JN-3)
     j = j.filter(F.col("PLAYER_ID").isNotNull() & F.col("__age").isNotNull() & F.col("SESSION_ID").isNotNull()
@@ -185,12 +183,15 @@ def int_fatigue_index(sessions: DataFrame, stats: DataFrame, players: DataFrame,
     broadcast as a one-row aggregate (WIN-6).  The reference joins its own
     derived set back twice; with unique sessions that is one projection (T17).
     """
-    spi = bounded_broadcast(players.select("player_id", F.col("age").alias("__age")))
-    tps = stats.select(F.col("player_id").alias("__tp"), F.col("game_id").alias("__tg"), "minutes_played")
-    j = (sessions.join(spi, "player_id")
-         .join(tps, (F.col("player_id") == F.col("__tp")) & (F.col("next_match_id") == F.col("__tg")))
-         .filter(F.col("minutes_played") >= min_minutes))
-    j = R.with_global_max(j, "duration_min", "__max_duration", persist_input=True)
+    spi = players.select("player_id", F.col("age").alias("__age"))
+    tps = (stats.filter(F.col("minutes_played") >= min_minutes)
+           .select(F.col("player_id").alias("__tp"), F.col("game_id").alias("__tg")))
+    next_match = (F.col("player_id") == F.col("__tp")) & (F.col("next_match_id") == F.col("__tg"))
+    j = sessions.join(spi, "player_id").join(tps, next_match)
+    # the same rows' maximum, from keys and durations only
+    played = (sessions.select("player_id", "next_match_id", "duration_min")
+              .join(spi.select("player_id"), "player_id", "left_semi").join(tps, next_match, "left_semi"))
+    j = R.with_global_max(j, "duration_min", "__max_duration", of=played)
     hr = X.heart_rate_norm("heart_rate", "__age")
     fat = X.ordinal_level_norm("fatigue_level")
     rec = X.recovery_score("days_before_match", "recovery_time_hours")
@@ -226,7 +227,7 @@ def last_training(sessions: DataFrame) -> DataFrame:
 def mart_player(stats: DataFrame, calendar: DataFrame, players: DataFrame, sessions: DataFrame) -> DataFrame:
     """Per (game, player): match stats, player bio, strength at the last training (PL-8)."""
     cm = calendar.select("game_id", "season", "place")
-    pi = bounded_broadcast(players.select("player_id", "player_name", "age", "height_cm", "weight_kg", "position"))
+    pi = players.select("player_id", "player_name", "age", "height_cm", "weight_kg", "position")
     lt = last_training(sessions).select("player_id", F.col("next_match_id").alias("game_id"),
                                         F.col("strength_score").alias("strength_score_last_training"))
     j = stats.join(cm, "game_id").join(pi, "player_id").join(lt, ["player_id", "game_id"])
@@ -312,23 +313,3 @@ def mart_physical_condition(fatigue: DataFrame, sessions: DataFrame, mart_player
           .withColumnRenamed("recovery_score", "rs_last_training")
           .withColumnRenamed("recovery_needed_hours", "recovery_needed_last_training"))
     return j.select(*MART_PC_COLUMNS)
-
-
-# ---------------------------------------------------------------- whole run
-
-def build_all(raw: dict[str, DataFrame], season_bounds=None) -> dict[str, DataFrame]:
-    """Staging -> dims -> fatigue -> marts, lazily, in dependency order."""
-    out = {}
-    out["stg_players"] = stg_players(raw["team_players_personal_info"])
-    out["dim_players"] = dim_players(out["stg_players"])
-    out["stg_player_stats"] = stg_player_stats(raw["team_players_stats"])
-    out["stg_games"] = stg_games(raw["team_games_dataset"], raw["team_boxscores"])
-    out["dim_calendar"] = dim_calendar(out["stg_games"], season_bounds)
-    out["stg_training_sessions"] = stg_training_sessions(raw["team_training_sessions"], out["dim_players"], season_bounds)
-    out["int_fatigue_index"] = int_fatigue_index(out["stg_training_sessions"], out["stg_player_stats"], out["stg_players"])
-    out["mart_player"] = mart_player(out["stg_player_stats"], out["dim_calendar"], out["dim_players"],
-                                     out["stg_training_sessions"])
-    out["mart_game"] = mart_game(out["stg_games"], out["dim_calendar"], out["int_fatigue_index"])
-    out["mart_physical_condition"] = mart_physical_condition(out["int_fatigue_index"], out["stg_training_sessions"],
-                                                             out["mart_player"])
-    return out

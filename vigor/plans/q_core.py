@@ -447,7 +447,7 @@ def _(c):
 @q("jn_12_small_dimension_join", stage_ctes("stg_training_sessions", "dim_players") + """
 SELECT s.session_id, p.player_name, p.height_cm FROM stg_training_sessions s JOIN dim_players p ON p.player_id = s.player_id""")
 def _(c):
-    dim = J.bounded_broadcast(c.dim_players.select("player_id", "player_name", "height_cm"))
+    dim = c.dim_players.select("player_id", "player_name", "height_cm")
     return c.stg_sessions.select("session_id", "player_id").join(dim, "player_id").select("session_id", "player_name", "height_cm")
 
 

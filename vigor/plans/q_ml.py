@@ -70,8 +70,8 @@ _MODELS: dict = {}
 
 
 def _model(c, kind: str):
-    """One fitted model per (application, input folder, kind), shared by the queries that use it."""
-    key = (c.spark.sparkContext.applicationId, c.sf_dir, kind)
+    """One fitted model per (run, kind), shared by the queries that use it."""
+    key = (*c.run_key, kind)
     if key not in _MODELS:
         if kind == "gbt":
             _MODELS[key] = MJ.fit_injury_model(MJ.injury_split(c.mart_pc))

@@ -8,19 +8,19 @@ The oracle is DuckDB SQL over the supplied tables (registered as views);
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.sinks import file_system
 from ..session import ensure_checkpoint_dir
 from ..sources import adapter
 from . import pipelines as P
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-_RUN_TABLES: dict[tuple[str, str, str], tuple] = {}
+_RUN_TABLES: dict[tuple, tuple] = {}
 
 
 def q(key: str, oracle: str | None = None):
@@ -46,6 +46,16 @@ class Ctx:
         base = ensure_checkpoint_dir(self.spark).rstrip("/")
         return f"{base}/vigor-tables/{name}-{uuid.uuid4().hex[:12]}"
 
+    @cached_property
+    def run_key(self) -> tuple:
+        """Application, folder, and name, length and modification time of each input file."""
+        fs, root = file_system(self.spark, self.sf_dir)
+        files, listing = [], fs.listFiles(root, True)
+        while listing.hasNext():
+            f = listing.next()
+            files.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        return self.spark.sparkContext.applicationId, self.sf_dir, tuple(sorted(files))
+
     @cached_property
     def players(self): return self.raw("team_players_personal_info")
 
@@ -67,20 +77,18 @@ class Ctx:
     def table(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
         """A model the pipeline stores as a table (staging shared by several models, dims, fatigue, marts).
 
-        Built and written once per run -- one Spark application over one input
-        folder -- then re-read by every later consumer, as a scheduled daily run
-        builds each model once.  ``build`` is only called on the first use.
+        Built and written once per run -- one Spark application over one state
+        of the input folder -- then re-read by every later consumer, as a
+        scheduled daily run builds each model once.  Changed input files are a
+        new run.  ``build`` is only called on the first use.
         """
         from ..operators.joins import materialise
-        key = (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+        key = (*self.run_key, name)
         hit = _RUN_TABLES.get(key)
         if hit is None:
             path = self.scratch(name)
             df = materialise(build(), path, partition_by)
             _RUN_TABLES[key] = hit = (path, df.schema)
-            # everything upstream is now on disk as a table: release the stage's cached intermediates
-            from ..operators.joins import release_persisted
-            release_persisted()
         return self.spark.read.schema(hit[1]).parquet(hit[0])
 
     @cached_property
