@@ -94,3 +94,18 @@ def test_player_clusters_labels_follow_rank(spark):
     means = {r.profil_label: r.m for r in out.groupBy("profil_label").agg(F.avg("performance_score_match").alias("m")).collect()}
     order = [lbl for lbl in M.PROFILE_LABELS if lbl in means]
     assert [means[lbl] for lbl in order] == sorted(means.values(), reverse=True)
+
+
+def test_exploration_features_use_the_raw_ratio(spark):
+    from vigor.plans import ml_jobs as MJ
+    names = sorted(set(MJ.INJURY_FEATURES + MJ.EXPLORATION_INJURY_FEATURES + ["session_id", "season", "injury_risk"]) - {"acwr"})
+    base = {n: 2.0 for n in names} | {"session_id": "a", "season": MJ.TARGET_SEASON, "position": "G", "injury_risk": 1}
+    rows = [base, base | {"session_id": "b", "fi_avg_28d": 0.0}, base | {"session_id": "c", "focus_level": None},
+            base | {"session_id": "d", "season": "2022-2023"}]
+    types = {"session_id": "string", "season": "string", "position": "string", "injury_risk": "int"}
+    df = spark.createDataFrame([tuple(r[n] for n in names) for r in rows],
+                               ", ".join(f"{n} {types.get(n, 'double')}" for n in names))
+    out = MJ.injury_features(df, epsilon=0.0, features=MJ.EXPLORATION_INJURY_FEATURES)
+    assert [(r.session_id, r.acwr) for r in out.collect()] == [("a", 1.0)]
+    columns = MJ.model_columns(MJ.EXPLORATION_INJURY_FEATURES)
+    assert len(columns) == 11 and set(columns) <= set(out.columns)

@@ -12,7 +12,7 @@ SUBSET = ["src_3_sheet_type_narrowing", "snk_6_scd2_snapshot", "prj_2_safe_cast"
           "agg_12_describe", "win_2_dedup_composite_key", "win_7_trailing_avg", "win_9_trailing_sum",
           "fn_3_first_successful_parser", "fn_4_clock_to_minutes", "pl_4_stg_training_sessions",
           "pl_7_int_fatigue_index", "pl_9_mart_game", "pl_10_mart_physical_condition", "dq_4_check_rules",
-          "ml_10_classification_report", "gov_1_pii_tag_projection"]
+          "ml_10_classification_report", "ml_14_cluster_profile_tables", "pl_14_top_by_profile", "pl_14_player_stats", "gov_1_pii_tag_projection"]
 
 
 def _norm(v):

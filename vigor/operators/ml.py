@@ -94,6 +94,8 @@ def with_balanced_weight(df: DataFrame, label: str, weight_from: DataFrame | Non
 # Boosted-tree hyper-parameters of the injury model.
 GBT_PARAMS = {"maxIter": 200, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
               "featureSubsetStrategy": "0.8", "seed": 42}
+# Node ids kept between levels; their lineage is cut in the shared folder every so many rounds.
+GBT_RUN = {"cacheNodeIds": True, "checkpointInterval": 10}
 
 
 def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
@@ -101,11 +103,21 @@ def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataF
 
 
 def fit_gbt(train: DataFrame, features: list[str], label: str, weight: str | None = None, **params):
-    p = {**GBT_PARAMS, **params}
+    p = {**GBT_PARAMS, **GBT_RUN, **params}
     gbt = GBTClassifier(featuresCol="features", labelCol=label, **p)
     if weight:
         gbt = gbt.setWeightCol(weight)
-    return gbt.fit(assemble(train, features).withColumn(label, F.col(label).cast("double")))
+    return _fit(gbt, train, features, label, weight)
+
+
+def _fit(estimator, train: DataFrame, features: list[str], label: str, weight: str | None):
+    """Fit on the model's columns only, kept for the rounds in partitions that AQE sizes from their bytes."""
+    data = assemble(train, features).withColumn(label, F.col(label).cast("double"))
+    data = data.select("features", label, *([weight] if weight else [])).hint("rebalance").persist()
+    try:
+        return estimator.fit(data)
+    finally:
+        data.unpersist()
 
 
 def fit_random_forest(train: DataFrame, features: list[str], label: str, weight: str | None = None,
@@ -115,7 +127,7 @@ def fit_random_forest(train: DataFrame, features: list[str], label: str, weight:
                                 maxBins=max_bins, seed=seed)
     if weight:
         rf = rf.setWeightCol(weight)
-    return rf.fit(assemble(train, features).withColumn(label, F.col(label).cast("double")))
+    return _fit(rf, train, features, label, weight)
 
 
 def positive_probability(model, df: DataFrame, features: list[str], out: str = "probability_1") -> DataFrame:
@@ -198,15 +210,15 @@ def kmeans_best_of(df: DataFrame, features: list[str], k: int = 3, n_init: int =
                    max_iter: int = 300):
     """k-means, best of ``n_init`` seeded restarts by training cost (ML-11)."""
     data = assemble(df, features).select("features").cache()
-    best = None
     try:
-        for i in range(n_init):
-            m = KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||", tol=1e-6).fit(data)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
+        return _best_run(data, k, n_init, seed, max_iter)
     finally:
         data.unpersist()
-    return best
+
+
+def _best_run(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
+    runs = (KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||", tol=1e-6).fit(data) for i in range(n_init))
+    return min(runs, key=lambda m: m.summary.trainingCost)
 
 
 def assign_clusters(model, df: DataFrame, features: list[str], out: str = "profil") -> DataFrame:
@@ -226,12 +238,12 @@ def inertia_k1(df: DataFrame, features: list[str]) -> DataFrame:
 
 def elbow(df: DataFrame, features: list[str], k_max: int = 10, seed: int = 42, n_init: int = 10) -> DataFrame:
     """Inertia for k = 1..k_max (ML-12) as a DataFrame (k, wcss)."""
-    spark = df.sparkSession
-    rows = []
-    for k in range(2, k_max + 1):
-        m = kmeans_best_of(df, features, k=k, n_init=n_init, seed=seed)
-        rows.append((k, float(m.summary.trainingCost)))
-    rest = spark.createDataFrame(rows, "k int, wcss double")  # k_max - 1 model costs
+    data = assemble(df, features).select("features").cache()      # once for all k
+    try:
+        rows = [(k, float(_best_run(data, k, n_init, seed).summary.trainingCost)) for k in range(2, k_max + 1)]
+    finally:
+        data.unpersist()
+    rest = df.sparkSession.createDataFrame(rows, "k int, wcss double")  # k_max - 1 model costs
     return inertia_k1(df, features).unionByName(rest).orderBy("k")
 
 

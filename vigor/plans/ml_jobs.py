@@ -9,30 +9,42 @@ from ..functions import exprs as X
 from ..operators import ml as M
 from ..operators import relational as R
 
-# Model inputs of the production injury model and of the
-# profiling model, target season and alert threshold.
+# Model inputs of the production injury model, of the profiling
+# model and of the exploration's injury models, the report's player statistics,
+# target season and alert threshold.
 INJURY_FEATURES = ["fi_before_match", "fi_avg_7d", "fi_max_7d", "training_load_7d", "fi_avg_28d",
                    "training_load_28d", "focus_level", "minutes_played", "position"]
 INJURY_LABEL = "injury_risk"
 PROFILE_FEATURES = ["points", "assists", "total_rebounds", "steals", "blocks", "turnover", "player_fault", "plus_minus"]
+EXPLORATION_INJURY_FEATURES = ["position", "fi_last_training", "fi_before_match", "acwr", "fi_max_7d", "training_load_7d",
+                               "training_load_28d", "recovery_needed_last_training", "rs_last_training", "focus_level",
+                               "minutes_played"]
+PLAYER_STATS = ["plus_minus", "points", "total_rebounds", "assists", "blocks", "steals", "minutes_played",
+                "performance_score_match_min"]
 TARGET_SEASON = "2023-2024"
 ALERT_THRESHOLD = 0.20
 
 
-def injury_features(mart_pc: DataFrame, season: str = TARGET_SEASON, epsilon: float = 1e-9) -> DataFrame:
-    """Season filter, complete rows only, encoded position, acute:chronic ratio (FLT-4/5, ML-1, FN-21)."""
-    df = mart_pc.filter(F.col("season") == season).na.drop(subset=INJURY_FEATURES + [INJURY_LABEL])
-    df = M.label_encode(df, "position", "position_code")
-    return df.withColumn("acwr", X.acute_chronic_ratio("fi_avg_7d", "fi_avg_28d", epsilon))
+def injury_features(mart_pc: DataFrame, season: str = TARGET_SEASON, epsilon: float = 1e-9,
+                    features: list[str] = INJURY_FEATURES) -> DataFrame:
+    """Season filter, complete rows only, encoded position, acute:chronic ratio (FLT-4/5, ML-1, FN-21).
 
+    ``epsilon`` 0 gives the raw ratio, NULL for a zero chronic load; such a
+    row is incomplete where ``features`` name the ratio.
+    """
+    df = mart_pc.filter(F.col("season") == season) \
+                .withColumn("acwr", X.acute_chronic_ratio("fi_avg_7d", "fi_avg_28d", epsilon))
+    return M.label_encode(df.na.drop(subset=features + [INJURY_LABEL]), "position", "position_code")
 
-def model_columns() -> list[str]:
-    return [c if c != "position" else "position_code" for c in INJURY_FEATURES] + ["acwr"]
+
+def model_columns(features: list[str] = INJURY_FEATURES) -> list[str]:
+    columns = [c if c != "position" else "position_code" for c in features]
+    return columns if "acwr" in columns else columns + ["acwr"]
 
 
 def injury_split(mart_pc: DataFrame, season: str = TARGET_SEASON, test_fraction: float = 0.2,
-                 seed: int = 42) -> DataFrame:
-    return M.hash_split(injury_features(mart_pc, season), ["session_id"], test_fraction, seed)
+                 seed: int = 42, epsilon: float = 1e-9, features: list[str] = INJURY_FEATURES) -> DataFrame:
+    return M.hash_split(injury_features(mart_pc, season, epsilon, features), ["session_id"], test_fraction, seed)
 
 
 def fit_injury_model(split: DataFrame, seed: int = 42, **gbt_params):
@@ -96,32 +108,69 @@ def cluster_profile_table(clustered: DataFrame, features: list[str]) -> DataFram
     return R.group_mean(clustered, ["profil_label"], features, scale=2)
 
 
-def modal_profile(game_rows: DataFrame, entity: str = "player_name") -> DataFrame:
-    """Per player: modal cluster, modal position and start position, mean performance (ML-14)."""
-    mc = R.mode_per_group(game_rows, [entity], "profil")
-    mp = R.modes_per_group(game_rows, [entity], ["position", "start_position"])
-    perf = R.group_mean(game_rows, [entity], ["performance_score_match", "minutes_played"], scale=2)
-    return mc.join(mp, entity).join(perf, entity)
-
-
-def top_by_profile(game_rows: DataFrame, n: int = 5, min_minutes: float = 15.0) -> DataFrame:
-    """Top-n rows per profile by performance among rows above a minutes threshold (WIN-10, FLT-8)."""
-    df = game_rows.filter(F.col("minutes_played") > min_minutes)
-    return R.top_n_per_group(df, ["profil"], [F.col("performance_score_match").desc(), F.col("game_id"),
-                                              F.col("player_id")], n)
+def complete_sessions(mart_pc: DataFrame, season: str = TARGET_SEASON,
+                      features: list[str] = PROFILE_FEATURES) -> DataFrame:
+    """Exploration grain: one row per session of the season, complete in ``features`` (T34)."""
+    return mart_pc.filter(F.col("season") == season).na.drop(subset=features)
 
 
-def game_grain_features(mart_player: DataFrame, season: str = TARGET_SEASON, min_minutes: float = 5.0) -> DataFrame:
-    """Exploration grain: one row per player-game, complete rows only, z-scored stats (T34)."""
-    df = mart_player.filter((F.col("minutes_played") >= min_minutes) & (F.col("season") == season)) \
-                    .na.drop(subset=PROFILE_FEATURES)
-    return M.standardize(df, PROFILE_FEATURES, suffix="_z")
+def scaled_sessions(mart_pc: DataFrame, season: str = TARGET_SEASON,
+                    features: list[str] = PROFILE_FEATURES) -> DataFrame:
+    return M.standardize(complete_sessions(mart_pc, season, features), features, suffix="_z")
 
 
-def game_grain_clusters(mart_player: DataFrame, season: str = TARGET_SEASON, k: int = 3, n_init: int = 1,
-                        seed: int = 42, min_minutes: float = 5.0) -> DataFrame:
-    """k-means at the exploration grain; one k-means++ run, as the exploration notebook does."""
-    z = game_grain_features(mart_player, season, min_minutes)
-    zcols = [c + "_z" for c in PROFILE_FEATURES]
+def session_clusters(mart_pc: DataFrame, season: str = TARGET_SEASON, features: list[str] = PROFILE_FEATURES,
+                     k: int = 3, n_init: int = 1, seed: int = 42) -> DataFrame:
+    """Sessions with the cluster (``profil``) of one seeded k-means run over the scaled features."""
+    z = scaled_sessions(mart_pc, season, features)
+    zcols = [c + "_z" for c in features]
     model = M.kmeans_best_of(z, zcols, k=k, n_init=n_init, seed=seed)
     return M.assign_clusters(model, z, zcols, "profil").drop(*zcols)
+
+
+def cluster_means(rows: DataFrame, features: list[str] = PROFILE_FEATURES) -> DataFrame:
+    """Rounded mean of the features per cluster (AGG-8)."""
+    return R.group_mean(rows, ["profil"], features, scale=2)
+
+
+def players_per_cluster(rows: DataFrame) -> DataFrame:
+    """Number of players by modal cluster (AGG-6, AGG-10)."""
+    return R.value_counts(R.mode_per_group(rows, ["player_name"], "profil"), "profil", "n_players")
+
+
+def player_stats(rows: DataFrame) -> DataFrame:
+    """Modal cluster and mean match statistics per player (ML-14)."""
+    return R.mode_per_group(rows, ["player_name"], "profil") \
+            .join(R.group_mean(rows, ["player_name"], PLAYER_STATS, scale=2), "player_name")
+
+
+def modal_profile(rows: DataFrame) -> DataFrame:
+    """Per player: modal cluster, modal position and start position, mean performance (ML-14)."""
+    modes = R.modes_per_group(rows, ["player_name"], ["position", "start_position"])
+    perf = R.group_mean(rows, ["player_name"], ["performance_score_match", "performance_score_match_min",
+                                                "minutes_played"], scale=2)
+    return R.mode_per_group(rows, ["player_name"], "profil").join(modes, "player_name").join(perf, "player_name")
+
+
+def regulars(profiles: DataFrame, min_minutes: float = 15.0) -> DataFrame:
+    """Players above a mean of ``min_minutes``, best performance per minute first (FLT-8, SRT-1)."""
+    return profiles.filter(F.col("minutes_played") > min_minutes) \
+                   .orderBy(F.col("performance_score_match_min").desc_nulls_last(), "player_name")
+
+
+def top_by_profile(profiles: DataFrame, n: int = 5, clusters: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """The n best players per minute of each named cluster (FLT-7, WIN-10)."""
+    return R.top_n_per_group(profiles.filter(F.col("profil").isin(*clusters)), ["profil"],
+                             [F.col("performance_score_match_min").desc_nulls_last(), F.col("player_name")], n)
+
+
+def exploration_report(mart_pc: DataFrame, season: str = TARGET_SEASON, features: list[str] = PROFILE_FEATURES,
+                       k: int = 3, seed: int = 42) -> dict[str, DataFrame]:
+    """PL-14: the tables of the profiling report by name."""
+    rows = session_clusters(mart_pc, season, features, k, seed=seed)
+    profiles = modal_profile(rows)
+    return {"describe": R.describe_columns(mart_pc, features), "null_counts": R.null_counts(mart_pc),
+            "elbow": M.elbow(scaled_sessions(mart_pc, season, features), [c + "_z" for c in features], n_init=1),
+            "cluster_means": cluster_means(rows, features), "players_per_cluster": players_per_cluster(rows),
+            "player_stats": player_stats(rows), "modal_profile": profiles, "regulars": regulars(profiles),
+            "top_by_profile": top_by_profile(profiles)}

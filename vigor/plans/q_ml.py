@@ -9,6 +9,7 @@ from ..operators import ml as M
 from ..operators import relational as R
 from . import ml_jobs as MJ
 from .oracle import stage_ctes
+from .pipelines import MART_PC_COLUMNS
 from .registry import q
 
 
@@ -94,11 +95,32 @@ def _(c):
 
 @q("ml_7_random_forest")
 def _(c):
-    train, test = _injury_train_test(c)
-    train = M.with_balanced_weight(train, "injury_risk")
-    model = M.fit_random_forest(train, MJ.model_columns(), "injury_risk", weight="weight")
-    return M.positive_probability(model, test, MJ.model_columns(), "injury_probability") \
-            .select("session_id", "injury_risk", "injury_probability")
+    return _forest_scores(c).select("session_id", "injury_risk", "injury_probability")
+
+
+def _forest_scores(c):
+    """The exploration's forest: its own features, the raw acute:chronic ratio, balanced classes; test rows scored."""
+    features = MJ.EXPLORATION_INJURY_FEATURES
+    columns = MJ.model_columns(features)
+    df = MJ.injury_split(c.mart_pc, epsilon=0.0, features=features)
+    train = M.with_balanced_weight(df.filter(~F.col("is_test")), "injury_risk")
+    key = (*c.run_key, "forest")
+    if key not in _MODELS:
+        _MODELS[key] = M.fit_random_forest(train, columns, "injury_risk", weight="weight")
+    return M.positive_probability(_MODELS[key], df.filter(F.col("is_test")), columns, "injury_probability")
+
+
+@q("pl_12_model_thresholds")
+def _(c):
+    """Precision and recall of the fitted boosted trees on the test rows, per threshold."""
+    _, test = _injury_train_test(c)
+    scored = M.positive_probability(_model(c, "gbt"), test, MJ.model_columns(), "p")
+    return M.threshold_sweep(scored, "injury_risk", "p")
+
+
+@q("pl_14_forest_thresholds")
+def _(c):
+    return M.threshold_sweep(_forest_scores(c), "injury_risk", "injury_probability")
 
 
 @q("ml_8_positive_probability")
@@ -157,8 +179,8 @@ def _(c):
 
 @q("ml_12_elbow_curve")
 def _(c):
-    """Inertia for k = 1..10 on the exploration grain (one row per player-game), one k-means++ run per k."""
-    z = MJ.game_grain_features(c.mart_player)
+    """Inertia for k = 1..10 on the exploration grain (one row per session), one seeded run per k."""
+    z = MJ.scaled_sessions(c.mart_pc)
     return M.elbow(z, [f + "_z" for f in _PF], k_max=10, n_init=1)
 
 
@@ -182,20 +204,81 @@ def _(c):
     return M.name_clusters(g, "profil", "performance_score_match")
 
 
-@q("ml_14_cluster_profile_tables", stage_ctes("mart_player") + f""",
-g AS (SELECT *, {_GIVEN_CLUSTER} AS profil FROM mart_player),
-mc AS (SELECT player_name, profil FROM (SELECT player_name, profil, COUNT(*) AS n FROM g GROUP BY ALL)
-       QUALIFY row_number() OVER (PARTITION BY player_name ORDER BY n DESC, profil) = 1),
-mpos AS (SELECT player_name, position FROM (SELECT player_name, position, COUNT(*) AS n FROM g WHERE position IS NOT NULL GROUP BY ALL)
-       QUALIFY row_number() OVER (PARTITION BY player_name ORDER BY n DESC, position) = 1),
-mst AS (SELECT player_name, start_position FROM (SELECT player_name, start_position, COUNT(*) AS n FROM g WHERE start_position IS NOT NULL GROUP BY ALL)
-       QUALIFY row_number() OVER (PARTITION BY player_name ORDER BY n DESC, start_position) = 1),
-perf AS (SELECT player_name, {_r('AVG(performance_score_match)', 2)} AS performance_score_match,
-                {_r('AVG(minutes_played)', 2)} AS minutes_played FROM g GROUP BY player_name)
-SELECT mc.player_name, mc.profil, mpos.position, mst.start_position, perf.performance_score_match, perf.minutes_played
-FROM mc JOIN mpos USING (player_name) JOIN mst USING (player_name) JOIN perf USING (player_name)""")
+_SESSIONS_SQL = stage_ctes("mart_physical_condition") + f""",
+g AS (SELECT *, {_GIVEN_CLUSTER} AS profil FROM mart_physical_condition
+      WHERE season = '2023-2024' AND """ + " AND ".join(f"{f} IS NOT NULL" for f in _PF) + ")"
+
+
+def _mode_sql(column: str) -> str:
+    return (f"(SELECT player_name, {column} FROM (SELECT player_name, {column}, COUNT(*) AS n FROM g "
+            f"WHERE {column} IS NOT NULL GROUP BY ALL) "
+            f"QUALIFY row_number() OVER (PARTITION BY player_name ORDER BY n DESC, {column}) = 1)")
+
+
+def _means_sql(columns, key="player_name") -> str:
+    return f"(SELECT {key}, " + ", ".join(f"{_r(f'AVG({f})', 2)} AS {f}" for f in columns) + f" FROM g GROUP BY {key})"
+
+
+_PROFILE_TABLE_SQL = _SESSIONS_SQL + f""",
+prof AS (SELECT player_name, profil, position, start_position, performance_score_match, performance_score_match_min, minutes_played
+FROM {_mode_sql('profil')} JOIN {_mode_sql('position')} USING (player_name) JOIN {_mode_sql('start_position')} USING (player_name)
+JOIN {_means_sql(['performance_score_match', 'performance_score_match_min', 'minutes_played'])} USING (player_name))
+"""
+
+
+def _given_sessions(c):
+    return _given_clusters(MJ.complete_sessions(c.mart_pc))
+
+
+@q("ml_14_cluster_profile_tables", _PROFILE_TABLE_SQL + "SELECT * FROM prof")
+def _(c):
+    return MJ.modal_profile(_given_sessions(c))
+
+
+@q("pl_14_cluster_means", _SESSIONS_SQL + f"SELECT * FROM {_means_sql(_PF, 'profil')}")
+def _(c):
+    return MJ.cluster_means(_given_sessions(c))
+
+
+@q("pl_14_players_per_cluster", _SESSIONS_SQL + f"""
+SELECT profil, COUNT(*) AS n_players FROM {_mode_sql('profil')} GROUP BY profil ORDER BY profil""")
+def _(c):
+    return MJ.players_per_cluster(_given_sessions(c))
+
+
+@q("pl_14_player_stats", _SESSIONS_SQL + f"""
+SELECT * FROM {_mode_sql('profil')} JOIN {_means_sql(MJ.PLAYER_STATS)} USING (player_name)""")
+def _(c):
+    return MJ.player_stats(_given_sessions(c))
+
+
+@q("pl_14_regulars", _PROFILE_TABLE_SQL + """
+SELECT * FROM prof WHERE minutes_played > 15 ORDER BY performance_score_match_min DESC NULLS LAST, player_name""")
+def _(c):
+    return MJ.regulars(MJ.modal_profile(_given_sessions(c)))
+
+
+@q("pl_14_top_by_profile", _PROFILE_TABLE_SQL + """
+SELECT * FROM prof WHERE profil IN (0, 1)
+QUALIFY row_number() OVER (PARTITION BY profil ORDER BY performance_score_match_min DESC NULLS LAST, player_name) <= 5""")
+def _(c):
+    return MJ.top_by_profile(MJ.modal_profile(_given_sessions(c)))
+
+
+@q("pl_14_describe", stage_ctes("mart_physical_condition") + "\nUNION ALL\n".join(f"""
+SELECT '{f}' AS column, COUNT({f}) AS count, {_r(f'AVG({f})', 8)} AS mean, {_r(f'STDDEV_SAMP({f})', 8)} AS std,
+       CAST(MIN({f}) AS DOUBLE) AS min, {_r(f'quantile_cont({f}, 0.25)', 8)} AS p25, {_r(f'quantile_cont({f}, 0.5)', 8)} AS p50,
+       {_r(f'quantile_cont({f}, 0.75)', 8)} AS p75, CAST(MAX({f}) AS DOUBLE) AS max FROM mart_physical_condition""" for f in _PF))
+def _(c):
+    d = R.describe_exact(c.mart_pc, _PF)
+    return d.select("column", "count", *[X.round_half_up(x, 8).alias(x) for x in ("mean", "std")], "min",
+                    *[X.round_half_up(x, 8).alias(x) for x in ("p25", "p50", "p75")], "max")
+
+
+@q("pl_14_null_counts", stage_ctes("mart_physical_condition") + "\nUNION ALL\n".join(
+    f"SELECT '{f}' AS column, COUNT(*) - COUNT({f}) AS n_null FROM mart_physical_condition" for f in MART_PC_COLUMNS))
 def _(c):
-    return MJ.modal_profile(_given_clusters(c.mart_player))
+    return R.null_counts(c.mart_pc)
 
 
 @q("ml_15_injury_scoring_table")
@@ -226,5 +309,4 @@ def _(c):
 
 @q("pl_14_exploration_report")
 def _(c):
-    rows = MJ.game_grain_clusters(c.mart_player)
-    return MJ.top_by_profile(rows, 5).select("profil", "game_id", "player_id", "player_name", "performance_score_match")
+    return MJ.top_by_profile(MJ.modal_profile(MJ.session_clusters(c.mart_pc)))
