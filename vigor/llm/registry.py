@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k
+from . import byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k, unit_dedup
 
 
 def queries() -> dict:
     return {
         "op1_suffix_dedup": suffix_dedup.query,
         "op2_mixing": mixing.query,
+        "op3_unit_dedup": unit_dedup.query,
         "op4_ngram_join": ngram_join.query,
         "op5_byte_bpe": byte_bpe.query,
         "op6_id_files": id_files.query,
