@@ -4,7 +4,12 @@ Every document gets counts (:func:`measure`).  Five ratios of them are summarise
 sketches: counts of logarithmic bins, so that two sketches merge by adding, in any order, and a quantile is right to
 ``ACCURACY`` of its value.  A group's fence on a ratio lies ``WIDTH`` times its middle spread beyond its upper
 quartile (for word length also below the lower one), but never nearer than the ratio's slack, so a group whose documents are
-alike isn't cut at their noise.  Thresholds are joined back and a document is kept if it passes the base rules and
+alike isn't cut at their noise.
+
+A group of few documents, or one that is largely junk, can't set its own fence.  Sketches are merged over the language and over
+all documents; a group's quartiles are cut to the fences of the level above, weighted with that level's quartiles
+by the group's count, and its reach is at most that level's.  So a fence moves from the one above it by one reach
+at most.  Thresholds are joined back and a document is kept if it passes the base rules and
 every fence of its group.
 
 Defined cases: a null or empty text has no words and fails; null lang and null source are groups of their own;
@@ -31,6 +36,11 @@ WIDTH = 3.0
 SLACK = {"symbol_ratio": (0.05, False), "dup_line_ratio": (0.60, False), "repeat_ratio": (0.30, False),
          "echo_ratio": (0.20, False), "word_length": (2.0, True)}
 
+#: Documents that what is known of the level above counts for, in the quartiles of a group.
+PRIOR = 20
+#: Ratios that differ by language (scripts without blanks have long words): no level above the first group holds them.
+OWN = ("word_length",)
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
 
 _SYMBOL = np.zeros(256, bool)
@@ -118,23 +128,64 @@ def sketches(measured: DataFrame, groups: tuple[str, ...] = ("lang", "source"))
             .groupBy(*groups, "ratio", "bin").agg(F.count(F.lit(1)).alias("n")))
 
 
-def thresholds(sketch: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """A row per group with ``<ratio>_low`` and ``<ratio>_high``.  A group's sketch has a bounded number of bins."""
+def _quartiles(merged: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+    """(groups, ratio, n, q1, q2, q3) of a sketch that has one row per group, ratio and bin."""
     gamma = (1 + ACCURACY) / (1 - ACCURACY)
     low = math.floor(math.log(1e-6) / math.log(gamma))
-    merged = sketch.groupBy(*groups, "ratio", "bin").agg(F.sum("n").alias("n"))
     over = Window.partitionBy(*groups, "ratio")
     value = F.when(F.col("bin") == 0, 0.0).otherwise(2 * F.pow(F.lit(gamma), F.col("bin") + low) / (gamma + 1))
     ranked = merged.withColumn("upto", F.sum("n").over(over.orderBy("bin"))).withColumn("all", F.sum("n").over(over))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), value))
-    quartiles = ranked.groupBy(*groups, "ratio").agg(at(0.25).alias("q1"), at(0.75).alias("q3"))
+    return ranked.groupBy(*groups, "ratio").agg(F.max("all").alias("n"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+
+
+def _fenced(level: DataFrame, above: DataFrame | None, groups: tuple[str, ...]) -> DataFrame:
+    """(groups, ratio, a, b, reach): the quartiles of a level, held by those of the level above, and their reach.
+
+    At the top the quartiles of ratios that languages share lie no further from the median than each other, so that junk
+    moves them only from half of all documents on.  The top of an ``OWN`` ratio is its language as it is.
+    """
+    slack = F.create_map(*[F.lit(x) for r, (least, _) in SLACK.items() for x in (r, least)])[F.col("c.ratio")]
+    own = F.col("c.ratio").isin(*OWN)
+    top = (F.when(own, F.col("q1")).otherwise(F.greatest("q1", 2 * F.col("q2") - F.col("q3"))),
+           F.when(own, F.col("q3")).otherwise(F.least("q3", 2 * F.col("q2") - F.col("q1"))))
+    rows = level.alias("c")
+    if above is None:
+        a, b, most = *top, F.lit(math.inf)
+    else:
+        on = F.col("c.ratio") == F.col("p.ratio")
+        for g in groups[:-1]:
+            on &= F.col(f"c.{g}").eqNullSafe(F.col(f"p.{g}"))
+        rows = rows.join(above.alias("p"), on, "left")
+        least, most = F.col("p.a") - F.col("p.reach"), F.col("p.b") + F.col("p.reach")
+        weight = F.col("c.n") / (F.col("c.n") + PRIOR)
+        held = lambda mine, theirs: weight * F.greatest(least, F.least(most, mine)) + (1 - weight) * theirs
+        alone = F.col("p.a").isNull()
+        a = F.when(alone, top[0]).otherwise(held(F.col("q1"), F.col("p.a")))
+        b = F.when(alone, top[1]).otherwise(held(F.col("q3"), F.col("p.b")))
+        most = F.coalesce("p.reach", F.lit(math.inf))
+    rows = rows.select(*[F.col(f"c.{g}") for g in groups], "c.ratio", a.alias("a"), b.alias("b"), most.alias("most"), slack.alias("slack"))
+    return rows.select(*groups, "ratio", "a", "b",
+                       F.least("most", F.greatest(WIDTH * (F.col("b") - F.col("a")), F.col("slack"))).alias("reach"))
+
+
+def thresholds(sketch: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+    """A row per group with ``<ratio>_low`` and ``<ratio>_high``.  A group's sketch has a bounded number of bins.
+
+    ``sketch`` is read once for every level (all documents, each prefix of ``groups``); store it if it is costly.
+    """
+    levels = [sketch.groupBy(*groups[:k], "ratio", "bin").agg(F.sum("n").alias("n")) for k in range(len(groups) + 1)]
+    held = None
+    for k, merged in enumerate(levels):
+        if k < min(1, len(groups)):
+            merged = merged.filter(~F.col("ratio").isin(*OWN))
+        held = _fenced(_quartiles(merged, groups[:k]), held, groups[:k])
     fences = []
-    for r, (slack, lower) in SLACK.items():
-        reach = F.greatest(WIDTH * (F.col("q3") - F.col("q1")), F.lit(slack))
+    for r, (_, lower) in SLACK.items():
         mine = F.col("ratio") == r
-        fences.append(F.max(F.when(mine, F.col("q3") + reach)).alias(f"{r}_high"))
-        fences.append(F.max(F.when(mine, F.col("q1") - reach if lower else F.lit(-1.0))).alias(f"{r}_low"))
-    return quartiles.groupBy(*groups).agg(*fences)
+        fences.append(F.max(F.when(mine, F.col("b") + F.col("reach"))).alias(f"{r}_high"))
+        fences.append(F.max(F.when(mine, F.col("a") - F.col("reach") if lower else F.lit(-1.0))).alias(f"{r}_low"))
+    return held.groupBy(*groups).agg(*fences)
 
 
 def verdicts(measured: DataFrame, fences: DataFrame, groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -152,13 +203,13 @@ def verdicts(measured: DataFrame, fences: DataFrame, groups: tuple[str, ...] = (
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns as they were.  Texts are measured twice and never shuffled."""
-    fences = stored(thresholds(sketches(measure(docs, ["lang", "source"]))), "fences")
+    fences = stored(thresholds(stored(sketches(measure(docs, ["lang", "source"])), "sketch")), "fences")
     carried = docs.select("text", "lang", "source", F.struct("*").alias("row"))
     return verdicts(measure(carried, ["lang", "source", "row"]), fences).filter("kept").select("row.*")
 
 
 def query(spark, sf_dir):
     measured = stored(measure(table(spark, sf_dir, "documents"), ["doc_id", "lang", "source"]), "measured")
-    fences = stored(thresholds(sketches(measured)), "fences")
+    fences = stored(thresholds(stored(sketches(measured), "sketch")), "fences")
     return verdicts(measured, fences).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                              "n_repeat_words", "base_failed", "kept")
