@@ -262,17 +262,20 @@ class LineIndex:
         refs.write.mode("append").parquet(self.path)
 
     def insert(self, docs: DataFrame) -> None:
-        """Add documents whose ids are not in the index."""
+        """Add documents.  An id that is in the index already, as after a retried insert, adds its keys once more; a deletion takes all."""
         self._add(references(docs, self.min_chars).distinct().withColumn("sign", F.lit(1)))
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Take the documents of ``doc_ids`` (doc_id) out again."""
-        gone = self.references().join(doc_ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        self._add(stored(gone.select("key", "doc_id", F.lit(-1).alias("sign")), "deleted"))
+        gone = self._counted().join(doc_ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        self._add(stored(gone.select("key", "doc_id", (-F.col("n")).cast("int").alias("sign")), "deleted"))
 
-    def references(self) -> DataFrame:
+    def _counted(self) -> DataFrame:
         signed = self.spark.read.schema("key binary, doc_id long, sign int").parquet(self.path)
-        return signed.groupBy("key", "doc_id").agg(F.sum("sign").alias("n")).filter("n > 0").select("key", "doc_id")
+        return signed.groupBy("key", "doc_id").agg(F.sum("sign").alias("n")).filter("n > 0")
+
+    def references(self) -> DataFrame:
+        return self._counted().select("key", "doc_id")
 
     def losses(self, min_docs: int = MIN_DOCS) -> DataFrame:
         refs = stored(self.references(), "references")
