@@ -1,9 +1,9 @@
 """Vectorised words and shingles of a batch of texts.
 
 Texts are read as the UTF-8 bytes of one Arrow column.  Words are runs of bytes outside ``[\\x20\\x09-\\x0D]``; all
-those bytes are ASCII, so cutting bytes is cutting code points.  A word's hash is a polynomial over its bytes modulo
-2**64, taken from one running sum; a shingle's hash is one over its words.  Two different words or shingles of the
-two documents compared collide with a chance of about 2**-64.
+those bytes are ASCII, so cutting bytes is cutting code points.  A word's hash takes its bytes eight at a time, each
+eight xored in and spread by a bijection; words over ``LONG`` bytes take xxh3.  A shingle's hash is a polynomial over
+those of its words.  Two different words or shingles collide with a chance of about 2**-64.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from .shared import CHUNK_BYTES
 
@@ -19,6 +20,9 @@ _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
 
+#: Bytes up to which a word is hashed in lanes with all others of its batch.
+LONG = 256
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -76,32 +80,55 @@ class Words:
         """Hashes of the k-word windows at every word (those that leave their document mean nothing), and which fit."""
         n = len(self.hashes)
         h = np.zeros(n, np.uint64)
-        for j, p in enumerate(powers(_Q, k)):
+        for j, p in enumerate(powers(_Q, k)[:n]):
             h[:n - j] += self.hashes[j:] * p
         left = np.repeat(self.first[1:], self.per_doc) - np.arange(n)
         return mixed(h), left >= k
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+def runs(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of bytes b with ``member[b]``; none crosses a document."""
     n = len(data)
     if not n:
-        none = np.zeros(0, np.int64)
-        return Words(none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
-    word = ~SPACE[data]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    word = member[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = word[:-1]
-    starts = np.flatnonzero(word & (~before | edge[:-1]))
     after = np.empty(n, bool)
     after[-1] = False
     after[:-1] = word[1:]
-    ends = np.flatnonzero(word & (~after | edge[1:])) + 1
-    running = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_P, n), out=running[1:])
-    hashes = mixed((running[ends] - running[starts]) * powers(_INVERSE, n)[starts])
-    return Words(starts, ends, hashes, np.searchsorted(starts, offsets))
+    return np.flatnonzero(word & (~before | edge[:-1])), np.flatnonzero(word & (~after | edge[1:])) + 1
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end] (none empty)."""
+    size = ends - starts
+    h = mixed(size.astype(np.uint64) * _P)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    left = np.where(size > LONG, 0, size)
+    rows = np.flatnonzero(left > 0)
+    at = starts[rows]
+    while len(rows):
+        x = eights[at]
+        rest = left[rows]
+        part = rest < 8
+        x[part] &= (np.uint64(1) << (rest[part].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        h[rows] = mixed(h[rows] ^ x)
+        more = rest > 8
+        left[rows] -= 8
+        rows, at = rows[more], at[more] + 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    return h
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> Words:
+    starts, ends = runs(data, offsets, ~SPACE)
+    return Words(starts, ends, hashes(data, starts, ends), np.searchsorted(starts, offsets))
 
 
 def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
