@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigor.llm import registry, unit_dedup
 
-SEPARATOR = {"line": "(\n)", "paragraph": "(\n(?:[ \t\r]*\n)+)"}
+SEPARATOR = {"sentence": "(\n|(?<=[.!?])[ \t\r]+\n?)", "line": "(\n)", "paragraph": "(\n(?:[ \t\r]*\n)+)"}
 
 
 def brute(rows, unit, min_bytes):
@@ -39,10 +39,11 @@ def result(r):
     return (r["n_bytes"], r["n_removed"], r["n_spans"], r["n_units"], r["n_dropped"], [tuple(x) for x in r["spans"]], bytes(r["kept"]))
 
 
-@pytest.mark.parametrize("unit,min_bytes", [("line", 1), ("paragraph", 1), ("line", 12)])
+@pytest.mark.parametrize("unit,min_bytes", [("sentence", 1), ("sentence", 9), ("line", 1), ("paragraph", 1), ("line", 12)])
 def test_unit_dedup(spark, unit, min_bytes):
     rnd = random.Random(7)
-    pool = ["a line of é", "A  Line of é\t", " a line\tof é", "b", "", " ", "other words here", "OTHER words  here\r", "É", "é"]
+    pool = ["a line of é", "A  Line of é\t", " a line\tof é", "b", "", " ", "other words here", "OTHER words  here\r", "É", "é",
+            "a b. A line of é! ", "b? b.c a  b.\t", "a line of é!\rother words here."]
     rows = [(i, "".join(rnd.choice(pool + [f"own {i}"]) + rnd.choice(["\n", "\n\n", "\n \t\n"]) for _ in range(rnd.randint(0, 9)))
              + rnd.choice(pool)) for i in range(150)]
     rows += [(200, None), (201, ""), (202, "\n\n"), (203, "x\n" * 5000), (204, rows[3][1]), (-5, rows[4][1])]

@@ -1,6 +1,7 @@
 """Operator 3, substring dedup by line or paragraph hashing.
 
-A text is cut into units: lines, or paragraphs (parted by one or more blank lines).  A unit's span is its bytes with
+A text is cut into units: sentences (ending at ``.``, ``!`` or ``?`` before white space, and at line ends), lines, or
+paragraphs (parted by one or more blank lines).  A unit's span is its bytes with
 the separator that ends it, so a text is the concatenation of its units.  A unit is normalised (ends stripped, runs
 of ASCII white space made one space, A-Z lower-cased) and digested to 128 bits.  Of all units with the same digest,
 over all documents, the one that ranks first by (doc_id, offset) stays and the others go; spans are offsets into the
@@ -27,7 +28,12 @@ from pyspark.sql import functions as F
 
 from .shared import chunks, stored, table
 
-_CUT = {"line": re.compile(rb"\n"), "paragraph": re.compile(rb"\n(?:[ \t\x0b\x0c\r]*\n)+")}
+_CUT = {"sentence": re.compile(rb"\n|(?<=[.!?])[ \t\x0b\x0c\r]+\n?"), "line": re.compile(rb"\n"),
+        "paragraph": re.compile(rb"\n(?:[ \t\x0b\x0c\r]*\n)+")}
+
+#: The query's cut and the bytes below which a unit says too little to be called a repeat.
+UNIT = "sentence"
+MIN_BYTES = 24
 
 
 def units(text: bytes, unit: str = "line", min_bytes: int = 1) -> list[tuple[bytes, int, int]]:
@@ -109,5 +115,5 @@ def dedup(docs: DataFrame, *, unit: str = "line", min_bytes: int = 1) -> DataFra
 
 
 def query(spark, sf_dir):
-    out = dedup(table(spark, sf_dir, "documents"))
+    out = dedup(table(spark, sf_dir, "documents"), unit=UNIT, min_bytes=MIN_BYTES)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "n_units", "n_dropped", "spans", F.sha2("kept", 256).alias("kept_sha256"))
