@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, quality_rules, suffix_dedup, top_k, unit_dedup
+from . import (byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, personal_data, quality_rules, suffix_dedup, top_k,
+               unit_dedup)
 
 
 def queries() -> dict:
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op8_html_text": html_text.query,
         "op9_line_dedup": line_dedup.query,
         "op10_top_k": top_k.query,
+        "op12_personal_data": personal_data.query,
     }
 
 
