@@ -185,5 +185,5 @@ def listed(spans: Column) -> Column:
 def query(spark, sf_dir):
     found = find(table(spark, sf_dir, "documents"), ["doc_id"])
     found = found.select("doc_id", "spans", F.filter("spans", lambda s: s["base"]).alias("base"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint) n_{k}") for k in KINDS[:4]]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
