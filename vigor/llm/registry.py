@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, personal_data, quality_rules, suffix_dedup, top_k,
-               unit_dedup)
+from . import (byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, personal_data, prefix_trie, quality_rules,
+               suffix_dedup, top_k, unit_dedup)
 
 
 def queries() -> dict:
@@ -18,9 +18,11 @@ def queries() -> dict:
         "op8_html_text": html_text.query,
         "op9_line_dedup": line_dedup.query,
         "op10_top_k": top_k.query,
+        "op11_prefix_trie": prefix_trie.query,
         "op12_personal_data": personal_data.query,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_ngram_join": ngram_join.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE}
+    return {"op4_ngram_join": ngram_join.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE,
+            "op11_prefix_trie": prefix_trie.ORACLE}
