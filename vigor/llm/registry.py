@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (byte_bpe, html_text, id_files, line_dedup, mixing, ngram_join, personal_data, prefix_trie, quality_rules,
+from . import (byte_bpe, html_text, id_files, lexical, line_dedup, mixing, ngram_join, personal_data, prefix_trie, quality_rules,
                suffix_dedup, top_k, unit_dedup)
 
 
@@ -20,9 +20,10 @@ def queries() -> dict:
         "op10_top_k": top_k.query,
         "op11_prefix_trie": prefix_trie.query,
         "op12_personal_data": personal_data.query,
+        "op13_lexical": lexical.query,
     }
 
 
 def oracles() -> dict[str, str]:
     return {"op4_ngram_join": ngram_join.ORACLE, "op9_line_dedup": line_dedup.ORACLE, "op10_top_k": top_k.ORACLE,
-            "op11_prefix_trie": prefix_trie.ORACLE}
+            "op11_prefix_trie": prefix_trie.ORACLE, "op13_lexical": lexical.ORACLE}
