@@ -11,6 +11,7 @@ files, and a failed job leaves the previous version intact.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -146,9 +147,13 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/v={vs[-1]}") if vs else None
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, version: int | None = None) -> str:
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, version: int | None = None,
+                gate: Callable[[str], None] | None = None) -> str:
     """Full refresh with schema replacement (SNK-1, SNK-2): write the next version.
 
+    ``gate`` is called with the folder of the written rows before readers can
+    see them; if it raises, the version is abandoned and they keep the one before.
+
     ``version`` is the one to make (default: the next).  Its ``_claim`` marker
     is created exclusively: of two writers of one version the second gets
     ``VersionTakenError`` and has to merge again on what the first wrote.  A
@@ -165,8 +170,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if gate:
+        w = w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
         w.parquet(target)
+        if gate:
+            gate(target)
+            _mark(spark, path, f"v={version}/_SUCCESS")
     except Exception:
         abandon(spark, path, version)
         raise
