@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import joins as J
+from ..operators import merge as G
 from ..operators import relational as R
 from ..operators import sinks as S
+from ..sources import adapter
 from ..sources import ingest as I
 from . import pipelines as P
 from .oracle import pipeline_sql, stage_ctes
@@ -28,6 +32,30 @@ def _(c):
     return I.read_csv(c.spark, path, schema=c.players.schema)
 
 
+_RAW_TABLES = tuple(adapter.RAW_TABLES)
+
+
+def _raw_counts(value: str) -> str:
+    return raw_sql("\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, {value} FROM {t}" for t in _RAW_TABLES))
+
+
+@q("src_1_csv_inferred", _raw_counts("CAST(1 AS BIGINT) AS n_broken"))
+def _(c):
+    """All raw tables from CSV files, types inferred, a broken line kept aside, tables created where absent."""
+    parts = []
+    for name in _RAW_TABLES:
+        raw, csv, table = c.raw(name), c.scratch(f"csv_{name}"), c.scratch(f"raw_{name}")
+        raw.repartition(3).write.option("header", True).csv(csv)
+        header = ",".join(raw.columns)
+        c.spark.createDataFrame([(f"{header}\nbroken{',x' * len(raw.columns)}",)], "value string").coalesce(1).write.mode("append").text(csv)
+        rows, broken = I.read_csv_inferred(c.spark, csv, c.scratch(f"lines_{name}"))
+        S.create_if_absent(rows, table)
+        S.create_if_absent(rows.limit(0), table)      # exists: nothing happens
+        parts.append(S.read_table(c.spark, table).agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(broken.agg(F.count(F.lit(1)).alias("n_broken")))
+                     .select(F.lit(name).alias("table_name"), "n_rows", "n_broken"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @q("src_2_registered_source", raw_sql("SELECT * FROM team_games_dataset", "team_games_dataset"))
 def _(c):
     return c.games
@@ -55,6 +83,41 @@ def _(c):
     return I.new_rows(c.sessions, loaded, ["SESSION_ID"])
 
 
+_NARROWED = {"PTS": "bigint", "FG_PCT": "double", "FT_PCT": "double", "MIN": "string", "COMMENT": "string", "START_POSITION": "string"}
+_SQL_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+@q("src_3_narrowed_rows", raw_sql("SELECT CAST(CAST(TRIM(GAME_ID) AS DOUBLE) AS BIGINT) AS GAME_ID, " + ", ".join(
+    f"CAST({'CAST(' if t == 'bigint' else ''}CASE WHEN LOWER(TRIM(v.{c_})) NOT IN ('', 'nan') THEN TRIM(v.{c_}) END{' AS DOUBLE)' if t == 'bigint' else ''} AS {_SQL_TYPES[t]}) AS {c_}"
+    for c_, t in _NARROWED.items()) + " FROM team_players_stats v", "team_players_stats"))
+def _(c):
+    return I.narrow_types(c.stats.select("GAME_ID", *_NARROWED))
+
+
+@q("src_3_sheet_ingest", raw_sql("\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, COUNT(*) AS nb_lignes FROM {t}" for t in _RAW_TABLES)))
+def _(c):
+    """Every raw table as a text sheet, and an empty one, which is skipped."""
+    base = c.scratch("sheets")
+    sheets = {t: c.raw(t).select(*[F.col(f"`{x}`").cast("string").alias(x) for x in c.raw(t).columns]) for t in _RAW_TABLES}
+    loaded = I.ingest_sheets({**sheets, "empty_sheet": c.players.limit(0)}, base)
+    return R.row_count_audit({t: S.read_table(c.spark, f"{base}/{t}") for t in loaded}, order_desc=False)
+
+
+@q("src_5_row_changes", stage_ctes("stg_training_sessions") + """,
+loaded AS (SELECT * REPLACE (CASE WHEN duration_min % 3 = 0 THEN NULL ELSE heart_rate END AS heart_rate) FROM stg_training_sessions
+           WHERE session_date < DATE '2024-01-01'),
+incoming AS (SELECT * FROM stg_training_sessions WHERE player_id % 10 <> 3)
+SELECT COALESCE(i.session_id, l.session_id) AS session_id, i.heart_rate,
+       CASE WHEN l.session_id IS NULL THEN 'inserted' WHEN i.session_id IS NULL THEN 'vanished'
+            WHEN i.heart_rate IS NOT DISTINCT FROM l.heart_rate THEN 'equal' ELSE 'changed' END AS change
+FROM incoming i FULL JOIN loaded l ON l.session_id = i.session_id""")
+def _(c):
+    """Incoming sessions against those loaded before: new ones, ones with another heart rate, equal ones, and ones of players gone."""
+    s = c.stg_sessions
+    loaded = s.filter(F.col("session_date") < "2024-01-01").withColumn("heart_rate", F.when(F.col("duration_min") % 3 == 0, None).otherwise(F.col("heart_rate")))
+    return I.row_changes(s.filter(F.col("player_id") % 10 != 3), loaded, ["session_id"]).select("session_id", "heart_rate", "change")
+
+
 @q("src_6_copy_upper_case", stage_ctes("dim_calendar") + """
 SELECT game_id AS GAME_ID, game_date AS GAME_DATE, season AS SEASON, annee AS ANNEE, mois AS MOIS, jour AS JOUR,
        place AS PLACE, opponent AS OPPONENT FROM dim_calendar""")
@@ -64,6 +127,20 @@ def _(c):
     return S.read_table(c.spark, path)
 
 
+@q("src_6_copy_raw_tables", _raw_counts("CAST(0 AS BIGINT) AS n_lower"))
+def _(c):
+    """All raw tables copied with upper-cased names, overwriting an earlier copy."""
+    parts = []
+    for name in _RAW_TABLES:
+        path = c.scratch(f"copy_{name}")
+        S.write_table(S.copy_upper(c.raw(name).limit(0)), path)
+        S.write_table(S.copy_upper(c.raw(name)), path)
+        copy = S.read_table(c.spark, path)
+        parts.append(copy.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), "n_rows", F.lit(sum(x != x.upper() for x in copy.columns)).cast("long").alias("n_lower")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @q("src_7_read_mart", stage_ctes("mart_game") + "SELECT * FROM mart_game")
 def _(c):
     path = c.scratch("mart_game")
@@ -103,6 +180,16 @@ SELECT * FROM o_target t WHERE NOT EXISTS (SELECT 1 FROM mart_game s WHERE s.gam
 UNION ALL SELECT * FROM mart_game"""
 
 
+def merged(c, name, stale, now, keys, partition_by):
+    """``now`` merged into a stored table of ``stale``, as the table reads afterwards (without its load times)."""
+    path = c.scratch(name)
+    with_block = lambda df: df.withColumn("game_block", F.expr("game_id div 100")) if "game_block" in partition_by else df
+    stale, now = with_block(stale), with_block(now)
+    G.merge_table(stale, path, keys, partition_by, stamp="updated_at")
+    G.merge_table(now, path, keys, partition_by, stamp="updated_at")
+    return G.stored_table(c.spark, path, now.schema).drop("game_block")
+
+
 def stale_games(mg):
     """Earlier state of the game mart: stale values, a missing third, keys gone since."""
     old = mg.filter(F.col("game_id") % 3 != 0).withColumn("total_points", F.col("total_points") + 1000)
@@ -112,7 +199,7 @@ def stale_games(mg):
 
 @q("snk_4_upsert_single_key", _UPSERT_GAME_SQL)
 def _(c):
-    return S.upsert(stale_games(c.mart_game), c.mart_game, ["game_id"])
+    return merged(c, "mart_game", stale_games(c.mart_game), c.mart_game, ["game_id"], ["game_block"])
 
 
 _UPSERT_PLAYER_SQL = stage_ctes("mart_player") + """,
@@ -127,7 +214,7 @@ UNION ALL SELECT * FROM mart_player"""
 def _(c):
     mp = c.mart_player
     target = mp.filter((F.col("game_id") + F.col("player_id")) % 4 != 0).withColumn("points", F.col("points") + 100)
-    return S.upsert(target, mp, ["game_id", "player_id"])
+    return merged(c, "mart_player", target, mp, ["game_id", "player_id"], ["season"])
 
 
 def players_first_run(dim):
@@ -137,6 +224,14 @@ def players_first_run(dim):
              .withColumn("position", F.when(F.col("player_id") % 6 == 0, F.lit(None)).otherwise(F.col("position")))
 
 
+def players_history(c):
+    """The dimension's history after two runs over a stored table."""
+    path, cols = c.scratch("players_snapshot"), ["position", "height_cm", "weight_kg", "age"]
+    G.merge_snapshot(players_first_run(c.dim_players), path, "player_id", cols, SNAP_T1)
+    G.merge_snapshot(c.dim_players, path, "player_id", cols, SNAP_T2)
+    return G.read_history(c.spark, path, c.dim_players)
+
+
 SNAP_T1, SNAP_T2 = "2024-01-01 06:00:00", "2024-01-02 06:00:00"
 _SNAP_COLS = "player_id, player_name, first_name, last_name, birthdate, age, height_cm, weight_kg, position, school, country, season_exp"
 _SNAP_SQL = stage_ctes("dim_players") + f""",
@@ -166,16 +261,26 @@ WHERE c.player_id IN (SELECT player_id FROM o_changed) OR c.player_id NOT IN (SE
 
 @q("snk_6_scd2_snapshot", _SNAP_SQL)
 def _(c):
-    cols = ["position", "height_cm", "weight_kg", "age"]
-    h1 = S.scd2_snapshot(None, players_first_run(c.dim_players), "player_id", cols, SNAP_T1)
-    return S.scd2_snapshot(h1, c.dim_players, "player_id", cols, SNAP_T2)
+    return players_history(c)
+
+
+_STORED = {"int_fatigue_index": ["session_id"], "mart_player": ["game_id", "player_id"], "mart_game": ["game_id"], "mart_physical_condition": ["session_id"]}
 
 
-@q("snk_7_load_timestamp", pipeline_sql("int_fatigue_index", "SELECT *, true AS has_updated_at FROM int_fatigue_index"))
+@q("snk_7_load_timestamp", stage_ctes(*_STORED) + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_loaded FROM {t}" for t in _STORED))
 def _(c):
-    """The stored columns as they are, and a load time on every row (its value differs from run to run)."""
-    out = S.with_load_timestamp(c.fatigue)
-    return out.select(*c.fatigue.columns, F.col("updated_at").isNotNull().alias("has_updated_at"))
+    """Rows and load times of the four stored models (the times differ from run to run)."""
+    frames = {"int_fatigue_index": c.fatigue, "mart_player": c.mart_player, "mart_game": c.mart_game, "mart_physical_condition": c.mart_pc}
+    parts = []
+    for name, df in frames.items():
+        path = c.scratch(name)
+        df = df.withColumn("load_block", F.pmod(F.xxhash64(*_STORED[name]), F.lit(4)))
+        G.merge_table(df, path, _STORED[name], ["load_block"], stamp="updated_at")
+        stored = S.with_load_timestamp(df.limit(0))
+        parts.append(G.stored_table(c.spark, path, stored.schema).agg(F.count(F.lit(1)).alias("n_rows"), F.count("updated_at").alias("n_loaded"))
+                     .select(F.lit(name).alias("table_name"), "n_rows", "n_loaded"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # ------------------------------------------------------------------ projections

@@ -11,7 +11,7 @@ from ..operators import relational as R
 from ..operators import sinks as S
 from . import pipelines as P
 from .oracle import pipeline_sql, stage_ctes
-from .q_core import SNAP_T1, SNAP_T2, _SNAP_SQL, players_first_run
+from .q_core import _SNAP_SQL, merged, players_history
 from .registry import q
 
 _MARTS = ["mart_player", "mart_physical_condition", "mart_game"]
@@ -121,36 +121,31 @@ def _(c):
     return c.fatigue
 
 
+def _stale(df, measure, *keys):
+    """An earlier state of a mart: a quarter of its rows missing, others with another ``measure``."""
+    turn = F.pmod(F.xxhash64(*keys), F.lit(8))
+    return df.filter(turn > 1).withColumn(measure, F.when(turn == 2, F.col(measure) + 1).otherwise(F.col(measure)))
+
+
 @q("pl_8_mart_player", pipeline_sql("mart_player"))
 def _(c):
-    path = c.scratch("mart_player")
-    # first run creates the table (T20), a re-run is idempotent; partitioned by season for pruning
-    S.upsert_table(c.mart_player, path, ["game_id", "player_id"], partition_by=["season"])
-    S.upsert_table(c.mart_player, path, ["game_id", "player_id"], partition_by=["season"])
-    return S.read_table(c.spark, path)
+    keys = ["game_id", "player_id"]
+    return merged(c, "mart_player", _stale(c.mart_player, "points", *keys), c.mart_player, keys, ["season"])
 
 
 @q("pl_9_mart_game", pipeline_sql("mart_game"))
 def _(c):
-    path = c.scratch("mart_game")
-    S.upsert_table(c.mart_game, path, ["game_id"])
-    return S.read_table(c.spark, path)
+    return merged(c, "mart_game", _stale(c.mart_game, "total_points", "game_id"), c.mart_game, ["game_id"], ["game_block"])
 
 
 @q("pl_10_mart_physical_condition", pipeline_sql("mart_physical_condition"))
 def _(c):
-    path = c.scratch("mart_physical_condition")
-    S.upsert_table(c.mart_pc, path, ["session_id"], partition_by=["season"])
-    return S.read_table(c.spark, path)
+    return merged(c, "mart_physical_condition", _stale(c.mart_pc, "points", "session_id"), c.mart_pc, ["session_id"], ["season"])
 
 
 @q("pl_11_players_snapshot", _SNAP_SQL)
 def _(c):
-    path = c.scratch("players_snapshot")
-    cols = ["position", "height_cm", "weight_kg", "age"]
-    S.snapshot_table(players_first_run(c.dim_players), path, "player_id", cols, SNAP_T1)
-    S.snapshot_table(c.dim_players, path, "player_id", cols, SNAP_T2)
-    return S.read_table(c.spark, path)
+    return players_history(c)
 
 
 _AUDIT = ["stg_players", "stg_player_stats", "stg_games", "stg_training_sessions", "dim_players", "dim_calendar",
@@ -181,5 +176,25 @@ def _quality_sql():
 
 @q("pl_16_quality_gate", _quality_sql())
 def _(c):
-    return Q.quality_report({"int_fatigue_index": c.fatigue, "mart_game": c.mart_game, "mart_player": c.mart_player,
-                             "mart_physical_condition": c.mart_pc})
+    """The rules of every model, checked by the job that writes it."""
+    frames = {"int_fatigue_index": c.fatigue, "mart_game": c.mart_game, "mart_player": c.mart_player, "mart_physical_condition": c.mart_pc}
+    rows = []
+    for name, df in frames.items():
+        rules, unique = Q.model_rules(name)
+        rows += Q.gated_write(df, c.scratch(name), name, rules, unique, enforce=False)
+    return c.spark.createDataFrame(rows, "table_name string, rule string, failing_rows long")   # a row a rule
+
+
+@q("pl_16_gate_stops_bad_rows", stage_ctes("mart_game") + "SELECT * FROM mart_game WHERE " + " AND ".join(
+    f"COALESCE({r.passes.replace('`', '')}, FALSE)" for r in Q.model_rules("mart_game")[0]))
+def _(c):
+    """The sound games are loaded; a load of all games is refused if any breaks a rule, and readers keep the sound ones."""
+    path, (rules, unique) = c.scratch("gated_game"), Q.model_rules("mart_game")
+    sound = reduce(lambda a, b: a & b, [F.coalesce(F.expr(r.passes), F.lit(False)) for r in rules])
+    Q.gated_write(c.mart_game.filter(sound), path, "mart_game", rules, unique)
+    try:
+        Q.gated_write(c.mart_game, path, "mart_game", rules, unique)
+    except Q.QualityError as e:
+        if not e.violations:
+            raise
+    return S.read_table(c.spark, path)

@@ -11,9 +11,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..operators.sinks import write_table
 
 # The text columns of the raw stats export that go through narrowing.
 STATS_TEXT_COLUMNS = ["GAME_ID", "PLAYER_ID", "START_POSITION", "MIN", "PTS", "FGM", "FGA", "FG_PCT", "FG3M",
@@ -29,6 +33,37 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
     return r.option("inferSchema", infer).csv(path)
 
 
+#: Types that a text column may take, the first that all its values fit.
+INFERRED = ("bigint", "double", "date", "timestamp")
+
+
+def inferred_types(df: DataFrame) -> dict[str, str]:
+    """The type that all values of each text column fit (string if none, or without values): one aggregate, a row to the driver."""
+    aggs = [f(F.col(f"`{c}`")).alias(f"c{i}_{n}") for i, c in enumerate(df.columns)
+            for n, f in enumerate([F.count, *(lambda v, t=t: F.count(v.try_cast(t)) for t in INFERRED)])]
+    row = df.agg(*aggs).first()
+    return {c: next((t for n, t in enumerate(INFERRED, 1) if row[f"c{i}_0"] and row[f"c{i}_{n}"] == row[f"c{i}_0"]), "string")
+            for i, c in enumerate(df.columns)}
+
+
+def read_csv_inferred(spark: SparkSession, path: str, staged: str, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
+    """(rows, broken lines) of all CSV files of a folder, each with a header (SRC-1).
+
+    A line with too few or too many fields is no row: it is kept aside as
+    text and has no say in the types, which are those that all rows of all files
+    fit.  Lines are parsed once, into the folder ``staged``, which both results read.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, corrupt]])
+    reader = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", corrupt)
+    reader.csv(path).write.parquet(staged)
+    lines = spark.read.schema(schema).parquet(staged)
+    rows = lines.filter(F.col(corrupt).isNull()).drop(corrupt)
+    types = inferred_types(rows)
+    return (rows.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in names]),
+            lines.filter(F.col(corrupt).isNotNull()).select(corrupt))
+
+
 def _blank_to_null(c: str):
     """Blank text and the text NaN are missing values."""
     text = F.trim(F.col(f"`{c}`"))
@@ -70,6 +105,37 @@ def skip_if_empty(df: DataFrame) -> DataFrame | None:
     return None if df.limit(1).count() == 0 else df
 
 
+def ingest_sheets(sheets: dict[str, DataFrame], base: str) -> list[str]:
+    """Load sheet tables (all text) with narrowed types, each a full refresh under ``base``; empty ones are skipped.
+
+    Returns the names of those loaded.
+    """
+    loaded = []
+    for name, sheet in sheets.items():
+        rows = skip_if_empty(sheet)
+        if rows is not None:
+            write_table(narrow_types(rows), f"{base}/{name}")
+            loaded.append(name)
+    return loaded
+
+
+def row_changes(incoming: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
+    """Incoming rows with ``change``: inserted, changed or equal; and keys that vanished, other columns NULL (SRC-5).
+
+    One full join on the keys (NULLs are equal) with a hash of the other
+    columns: of the loaded side only keys and hash are shuffled.  Keys must be unique on both sides.
+    """
+    rest = [c for c in incoming.columns if c not in keys]
+    row_hash = F.xxhash64(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\0")) for c in rest])
+    left = incoming.withColumn("__hash", row_hash).alias("i")
+    right = loaded.select(*keys, row_hash.alias("__hash")).alias("l")
+    on = reduce(lambda a, b: a & b, [F.col(f"i.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys])
+    change = (F.when(F.col("l.__hash").isNull(), "inserted").when(F.col("i.__hash").isNull(), "vanished")
+               .when(F.col("i.__hash") == F.col("l.__hash"), "equal").otherwise("changed"))
+    return left.join(right, on, "full").select(
+        *[F.coalesce(f"i.{c}", f"l.{c}").alias(c) if c in keys else F.col(f"i.{c}") for c in incoming.columns], change.alias("change"))
+
+
 def new_rows(incoming: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
     """Incoming rows whose key is not loaded yet (SRC-5): a left-anti join."""
     return incoming.join(loaded.select(*keys), keys, "left_anti")
