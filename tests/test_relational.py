@@ -90,8 +90,20 @@ def test_null_counts_and_catalogue(spark):
 def test_describe_exact_matches_pandas(spark):
     import pandas as pd
     vals = [1.0, 2.0, 4.0, 8.0, 16.0]
-    d = R.describe_exact(spark.createDataFrame([(v,) for v in vals], "x double"), ["x"]).first()
+    d = R.describe_columns(spark.createDataFrame([(v,) for v in vals], "x double"), ["x"]).first()
     s = pd.Series(vals).describe()
     assert (d["count"], d["mean"], d["min"], d["p25"], d["p50"], d["p75"], d["max"]) == \
         (s["count"], s["mean"], s["min"], s["25%"], s["50%"], s["75%"], s["max"])
     assert abs(d["std"] - s["std"]) < 1e-12
+
+
+def test_rolling_statistics_take_null_entities_and_days(spark, duck):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice([None, *range(40)]), rnd.choice([None, 1.0, 2.5, 9.0]), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "p long, day long, x double, id long")
+    got = {r.id: (r.a, r.m, r.s) for r in R.rolling_day_stats(df, "p", "day", [("avg", "x", "a"), ("max", "x", "m"), ("sum", "x", "s")], (7,)).collect()}
+    duck.execute("CREATE OR REPLACE TABLE rolling (p BIGINT, day BIGINT, x DOUBLE, id BIGINT)")
+    duck.executemany("INSERT INTO rolling VALUES (?, ?, ?, ?)", rows)
+    want = duck.execute("SELECT id, CAST(ROUND(CAST(AVG(x) OVER w AS DECIMAL(20,8)), 2) AS DOUBLE), MAX(x) OVER w, SUM(x) OVER w FROM rolling "
+                        "WINDOW w AS (PARTITION BY p ORDER BY day NULLS FIRST RANGE BETWEEN 7 PRECEDING AND CURRENT ROW)").fetchall()
+    assert got == {i: (a, m, s) for i, a, m, s in want}

@@ -10,25 +10,27 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .ranks import ranked
 
 # ------------------------------------------------------------------ ML-1
 
 
 def label_encode(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
-    """Index of the value in sorted distinct order, 0-based (ML-1, sklearn LabelEncoder)."""
+    """Index of the value in sorted distinct order, 0-based (ML-1, sklearn LabelEncoder); NULL comes after all values.
+
+    The codes are a distributed rank of the distinct values, joined back: no
+    value reaches the driver, and Spark broadcasts the codes only if they are small.
+    """
     output = output or column
-    model = StringIndexer(inputCol=column, outputCol="__idx", stringOrderType="alphabetAsc",
-                          handleInvalid="keep").fit(df.select(column))
-    out = model.transform(df).withColumn("__idx", F.col("__idx").cast("int"))
-    if output == column:
-        out = out.drop(column)
-    return out.withColumnRenamed("__idx", output)
+    codes = ranked(df.select(F.col(column).alias("__value")).distinct(), [F.col("__value").asc_nulls_last()], name="__code")
+    joined = df.join(codes, F.col(column).eqNullSafe(F.col("__value")), "left").withColumn("__code", F.col("__code").cast("int"))
+    return joined.drop("__value", *([column] if output == column else [])).withColumnRenamed("__code", output)
 
 
 # ------------------------------------------------------------------ ML-2
@@ -86,7 +88,7 @@ def with_balanced_weight(df: DataFrame, label: str, weight_from: DataFrame | Non
     per = src.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = src.agg(F.count(F.lit(1)).alias("__n"), F.countDistinct(label).alias("__k"))
     w = per.crossJoin(tot).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
 # ------------------------------------------------------------------ ML-6 / ML-7 / ML-8

@@ -2,9 +2,8 @@
 
 Scale notes shared by all of them:
 
-* "Keep one row per key" and "latest row per key" are aggregates
-  (``min``/``max`` of a struct), not ``row_number`` windows: the partial
-  aggregate runs map-side, so a key that holds a third of all rows is
+* "Keep one row per key" and "latest row per key" are ``row_number() = 1``,
+  whose group limit runs map-side: a key that holds a third of all rows is
   collapsed to one row per input partition before the shuffle.
 * Trailing day-range windows are computed on per-(entity, day) partial
   aggregates, whose size per entity is bounded by the number of days, then
@@ -23,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import col_, round_half_up
+from .ranks import quantiles, ranked
 
 # --------------------------------------------------------------------------- WIN-1/2
 
@@ -33,25 +33,26 @@ def dedup_keep_one(df: DataFrame, keys: list[str], order: list[str] | None = Non
     The survivor is the first row in ascending order of ``order`` (default:
     every non-key column, in schema order, NULLs first), which is a total
     order, so the result is deterministic.  ``largest`` keeps the last row of
-    that order instead (``max(struct)``).
+    that order instead.
 
-    Plan: one ``min(struct)`` aggregate, partial before its shuffle, so a key
-    holding a third of all rows is one row per task when it is shuffled.
+    Plan: ``row_number() = 1``.  Spark keeps the first row of a key in each map
+    task (``WindowGroupLimit``) before the shuffle, so a key holding a third of
+    all rows is one row per task when it is shuffled.
     """
     order = order or [c for c in df.columns if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(f"`{c}`") for c in order + rest])
-    out = df.groupBy(*keys).agg((F.max if largest else F.min)(packed).alias("__row"))
-    return out.select(*[F.col(k) for k in keys], *[F.col("__row")[c].alias(c) for c in order + rest]) \
-              .select(*[F.col(f"`{c}`") for c in df.columns])
+    by = [F.col(f"`{c}`").desc() if largest else F.col(f"`{c}`").asc() for c in order + rest]
+    if not by:
+        return df.dropDuplicates(keys)
+    first = F.row_number().over(Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*by))
+    return df.withColumn("__rn", first).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def latest_per_group(df: DataFrame, keys: list[str], order_desc: list[str]) -> DataFrame:
     """The row with the greatest ``order_desc`` tuple per ``keys`` (WIN-3).
 
-    ``max(struct(order..., rest...))``: ties on the order columns are broken by
-    the remaining columns, so the pick is total.  Same plan as
-    :func:`dedup_keep_one`: a partial aggregate keeps hot keys cheap.
+    Ties on the order columns are broken by the remaining columns, so the pick
+    is total.  Same plan as :func:`dedup_keep_one`.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_desc]
     return dedup_keep_one(df, keys, order_desc + rest, largest=True)
@@ -154,10 +155,12 @@ def rolling_day_stats(df: DataFrame, entity: str, day_col: str, specs: list[tupl
                 cols.append(F.max(f"__m_{key}").over(w).alias(out))
             else:
                 cols.append(F.sum(f"__t_{key}").over(w).cast("double").alias(out))
-    stats = daily.select(entity, "__day", *cols)
-    out_names = [c for c in stats.columns if c not in (entity, "__day")]
+    stats = daily.select(F.col(entity).alias("__entity"), F.col("__day").alias("__on"), *cols)
+    out_names = [c for c in stats.columns if c not in ("__entity", "__on")]
     base = df.drop(*[c for c in out_names if c in df.columns]).withColumn("__day", day)
-    return base.join(stats, [entity, "__day"], "left").drop("__day")
+    # Null-safe, as window partitions are: rows without entity are one entity, rows without day are each other's peers.
+    on = base[entity].eqNullSafe(stats["__entity"]) & base["__day"].eqNullSafe(stats["__on"])
+    return base.join(stats, on, "left").drop("__day", "__entity", "__on")
 
 
 def _spec_key(kind: str, value) -> str:
@@ -211,58 +214,39 @@ def value_counts(df: DataFrame, column: str, alias: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(alias)).orderBy(column)
 
 
-def collect_members(df: DataFrame, keys: list[str], member: str, alias: str = "members") -> DataFrame:
-    """Sorted list of members per group (AGG-11).
+def members(df: DataFrame, keys: list[str], member: str) -> DataFrame:
+    """Distinct non-NULL members per group as rows (keys, member_no, member, n_members), member_no from 1 in sorted order (AGG-11).
 
-    For per-cluster rosters (a handful of keys, one entry per entity); a
-    group's list is bounded by its distinct members, never by raw row count
-    (``collect_set`` de-duplicates map-side before the shuffle).
+    The numbers are a distributed rank: a group of any size is split over tasks.
     """
-    return df.groupBy(*keys).agg(F.sort_array(F.collect_set(member)).alias(alias))
+    distinct = df.filter(F.col(member).isNotNull()).select(*keys, member).distinct()
+    return ranked(distinct, [F.col(member).asc()], keys, "member_no", "n_members").withColumn("member_no", F.col("member_no") + 1) \
+        .select(*keys, "member_no", member, "n_members")
 
 
-def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std, min, 25/50/75 %, max per column (AGG-12), one row per column.
+def member_texts(df: DataFrame, keys: list[str], member: str, separator: str = ", ", most: int = 10_000) -> DataFrame:
+    """(keys, members, n_members): the sorted members of a group as one text (AGG-11).
 
-    Quartiles use ``percentile_approx`` with a high accuracy: an exact
-    percentile needs every value of a column in one buffer, which is not a
-    100 TB-safe aggregate.  The exact variant is available via ``exact=True``
-    in :func:`describe_exact` for bounded inputs.
+    Groups of more than ``most`` members have their number and no text; :func:`members` has their rows.
     """
-    exprs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        exprs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).alias("q"), F.max(x).alias("max")).alias(c))
-    row = df.agg(*exprs)
-    stacked = row.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s"))
-    return stacked.select("s.column", "s.count", "s.mean", "s.std", "s.min",
-                          F.col("s.q")[0].alias("p25"), F.col("s.q")[1].alias("p50"),
-                          F.col("s.q")[2].alias("p75"), "s.max")
-
-
-def describe_exact(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Same as :func:`describe_columns` with exact (linearly interpolated) quartiles, as pandas.
-
-    Spark's exact ``percentile`` keeps a value -> count map per column, so its
-    memory is bounded by the number of *distinct* values, not rows: right
-    for counts, scores and 2-decimal minutes (the exploration columns); for
-    continuous high-cardinality columns use :func:`describe_columns`.
+    rows = members(df, keys, member).withColumn("__m", F.when(F.col("n_members") <= most, F.struct("member_no", F.col(member).alias("m"))))
+    texts = F.array_join(F.transform(F.sort_array(F.collect_list("__m")), lambda x: x["m"]), separator)
+    out = rows.groupBy(*keys).agg(texts.alias("members"), F.max("n_members").alias("n_members"))
+    return out.withColumn("members", F.when(F.col("n_members") <= most, F.col("members")))
+
+
+def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """count, mean, std, min, exact 25/50/75 %, max per column (AGG-12), one row per column, as pandas has them.
+
+    Quartiles are order statistics of the range-partitioned values
+    (:func:`ranks.quantiles`), all columns in one pass; no buffer holds a column.
     """
-    exprs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        exprs.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-            F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.max(x).alias("max")).alias(c))
-    row = df.agg(*exprs)
-    stacked = row.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("s"))
-    return stacked.select("s.column", "s.count", "s.mean", "s.std", "s.min",
-                          F.col("s.q")[0].alias("p25"), F.col("s.q")[1].alias("p50"),
-                          F.col("s.q")[2].alias("p75"), "s.max")
+    row = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                            F.min(x).alias("min"), F.max(x).alias("max")).alias(c) for c, x in ((c, F.col(c).cast("double")) for c in columns)])
+    plain = row.select(F.inline(F.array(*[F.col(c) for c in columns])))
+    q = quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for s, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return plain.join(q, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

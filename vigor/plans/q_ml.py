@@ -270,7 +270,7 @@ SELECT '{f}' AS column, COUNT({f}) AS count, {_r(f'AVG({f})', 8)} AS mean, {_r(f
        CAST(MIN({f}) AS DOUBLE) AS min, {_r(f'quantile_cont({f}, 0.25)', 8)} AS p25, {_r(f'quantile_cont({f}, 0.5)', 8)} AS p50,
        {_r(f'quantile_cont({f}, 0.75)', 8)} AS p75, CAST(MAX({f}) AS DOUBLE) AS max FROM mart_physical_condition""" for f in _PF))
 def _(c):
-    d = R.describe_exact(c.mart_pc, _PF)
+    d = R.describe_columns(c.mart_pc, _PF)
     return d.select("column", "count", *[X.round_half_up(x, 8).alias(x) for x in ("mean", "std")], "min",
                     *[X.round_half_up(x, 8).alias(x) for x in ("p25", "p50", "p75")], "max")
 
