@@ -6,8 +6,10 @@ Frames are never collected: features stay in Spark, only model metadata
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -218,9 +220,21 @@ def kmeans_best_of(df: DataFrame, features: list[str], k: int = 3, n_init: int =
         data.unpersist()
 
 
+def _run(data: DataFrame, k: int, seed: int, max_iter: int = 300):
+    return KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||", tol=1e-6).fit(data)
+
+
+def _fits(data: DataFrame, runs: list[tuple[int, int]], max_iter: int = 300, at_once: int = 8) -> list:
+    """The models of (k, seed) runs over one cached frame, several at a time: their many small jobs fill each other's gaps."""
+    data.count()   # cached once, not by every run
+    with ThreadPoolExecutor(at_once) as pool:
+        fit = inheritable_thread_target(data.sparkSession)(_run)
+        return [f.result() for f in [pool.submit(fit, data, k, seed, max_iter) for k, seed in runs]]
+
+
 def _best_run(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
-    runs = (KMeans(k=k, seed=seed + i, maxIter=max_iter, initMode="k-means||", tol=1e-6).fit(data) for i in range(n_init))
-    return min(runs, key=lambda m: m.summary.trainingCost)
+    """The run of least cost, of equal ones the first."""
+    return min(_fits(data, [(k, seed + i) for i in range(n_init)], max_iter), key=lambda m: m.summary.trainingCost)
 
 
 def assign_clusters(model, df: DataFrame, features: list[str], out: str = "profil") -> DataFrame:
@@ -242,7 +256,9 @@ def elbow(df: DataFrame, features: list[str], k_max: int = 10, seed: int = 42, n
     """Inertia for k = 1..k_max (ML-12) as a DataFrame (k, wcss)."""
     data = assemble(df, features).select("features").cache()      # once for all k
     try:
-        rows = [(k, float(_best_run(data, k, n_init, seed).summary.trainingCost)) for k in range(2, k_max + 1)]
+        runs = [(k, seed + i) for k in range(2, k_max + 1) for i in range(n_init)]
+        costs = [float(m.summary.trainingCost) for m in _fits(data, runs)]
+        rows = [(k, min(costs[i:i + n_init])) for i, (k, s) in enumerate(runs) if s == seed]
     finally:
         data.unpersist()
     rest = df.sparkSession.createDataFrame(rows, "k int, wcss double")  # k_max - 1 model costs

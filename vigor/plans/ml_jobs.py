@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,12 +167,20 @@ def top_by_profile(profiles: DataFrame, n: int = 5, clusters: tuple[int, ...] =
 
 
 def exploration_report(mart_pc: DataFrame, season: str = TARGET_SEASON, features: list[str] = PROFILE_FEATURES,
-                       k: int = 3, seed: int = 42) -> dict[str, DataFrame]:
-    """PL-14: the tables of the profiling report by name."""
-    rows = session_clusters(mart_pc, season, features, k, seed=seed)
-    profiles = modal_profile(rows)
-    return {"describe": R.describe_columns(mart_pc, features), "null_counts": R.null_counts(mart_pc),
-            "elbow": M.elbow(scaled_sessions(mart_pc, season, features), [c + "_z" for c in features], n_init=1),
-            "cluster_means": cluster_means(rows, features), "players_per_cluster": players_per_cluster(rows),
-            "player_stats": player_stats(rows), "modal_profile": profiles, "regulars": regulars(profiles),
-            "top_by_profile": top_by_profile(profiles)}
+                       k: int = 3, seed: int = 42, clustered: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """PL-14: the tables of the profiling report by name, each built when it is called, all over one clustering.
+
+    ``clustered`` are sessions with a cluster (``profil``) where there is one already.
+    """
+    fitted: list[DataFrame] = [] if clustered is None else [clustered]
+
+    def rows() -> DataFrame:
+        if not fitted:
+            fitted.append(session_clusters(mart_pc, season, features, k, seed=seed))
+        return fitted[0]
+
+    return {"describe": lambda: R.describe_columns(mart_pc, features), "null_counts": lambda: R.null_counts(mart_pc),
+            "elbow": lambda: M.elbow(scaled_sessions(mart_pc, season, features), [c + "_z" for c in features], n_init=1),
+            "cluster_means": lambda: cluster_means(rows(), features), "players_per_cluster": lambda: players_per_cluster(rows()),
+            "player_stats": lambda: player_stats(rows()), "modal_profile": lambda: modal_profile(rows()),
+            "regulars": lambda: regulars(modal_profile(rows())), "top_by_profile": lambda: top_by_profile(modal_profile(rows()))}

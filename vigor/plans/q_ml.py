@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import ml as M
-from ..operators import relational as R
+from ..operators import sinks as S
 from . import ml_jobs as MJ
 from .oracle import stage_ctes
 from .pipelines import MART_PC_COLUMNS
@@ -177,11 +179,19 @@ def _(c):
     return MJ.player_clusters(c.mart_player, model=_model(c, "kmeans")).select("player_id", "profil")
 
 
+def _elbow(c):
+    """The curve of this run, fitted once: k_max rows."""
+    key = (*c.run_key, "elbow")
+    if key not in _MODELS:
+        curve = MJ.exploration_report(c.mart_pc)["elbow"]()
+        _MODELS[key] = ([tuple(r) for r in curve.collect()], curve.schema)
+    return c.spark.createDataFrame(*_MODELS[key])
+
+
 @q("ml_12_elbow_curve")
 def _(c):
     """Inertia for k = 1..10 on the exploration grain (one row per session), one seeded run per k."""
-    z = MJ.scaled_sessions(c.mart_pc)
-    return M.elbow(z, [f + "_z" for f in _PF], k_max=10, n_init=1)
+    return _elbow(c)
 
 
 _GIVEN_CLUSTER = "CASE start_position WHEN 'Bench' THEN 0 WHEN 'F' THEN 1 ELSE 2 END"
@@ -226,43 +236,44 @@ JOIN {_means_sql(['performance_score_match', 'performance_score_match_min', 'min
 """
 
 
-def _given_sessions(c):
-    return _given_clusters(MJ.complete_sessions(c.mart_pc))
+def _report(c, table):
+    """A table of the report over clusters taken from a column."""
+    return MJ.exploration_report(c.mart_pc, clustered=_given_clusters(MJ.complete_sessions(c.mart_pc)))[table]()
 
 
 @q("ml_14_cluster_profile_tables", _PROFILE_TABLE_SQL + "SELECT * FROM prof")
 def _(c):
-    return MJ.modal_profile(_given_sessions(c))
+    return _report(c, "modal_profile")
 
 
 @q("pl_14_cluster_means", _SESSIONS_SQL + f"SELECT * FROM {_means_sql(_PF, 'profil')}")
 def _(c):
-    return MJ.cluster_means(_given_sessions(c))
+    return _report(c, "cluster_means")
 
 
 @q("pl_14_players_per_cluster", _SESSIONS_SQL + f"""
 SELECT profil, COUNT(*) AS n_players FROM {_mode_sql('profil')} GROUP BY profil ORDER BY profil""")
 def _(c):
-    return MJ.players_per_cluster(_given_sessions(c))
+    return _report(c, "players_per_cluster")
 
 
 @q("pl_14_player_stats", _SESSIONS_SQL + f"""
 SELECT * FROM {_mode_sql('profil')} JOIN {_means_sql(MJ.PLAYER_STATS)} USING (player_name)""")
 def _(c):
-    return MJ.player_stats(_given_sessions(c))
+    return _report(c, "player_stats")
 
 
 @q("pl_14_regulars", _PROFILE_TABLE_SQL + """
 SELECT * FROM prof WHERE minutes_played > 15 ORDER BY performance_score_match_min DESC NULLS LAST, player_name""")
 def _(c):
-    return MJ.regulars(MJ.modal_profile(_given_sessions(c)))
+    return _report(c, "regulars")
 
 
 @q("pl_14_top_by_profile", _PROFILE_TABLE_SQL + """
 SELECT * FROM prof WHERE profil IN (0, 1)
 QUALIFY row_number() OVER (PARTITION BY profil ORDER BY performance_score_match_min DESC NULLS LAST, player_name) <= 5""")
 def _(c):
-    return MJ.top_by_profile(MJ.modal_profile(_given_sessions(c)))
+    return _report(c, "top_by_profile")
 
 
 @q("pl_14_describe", stage_ctes("mart_physical_condition") + "\nUNION ALL\n".join(f"""
@@ -270,7 +281,7 @@ SELECT '{f}' AS column, COUNT({f}) AS count, {_r(f'AVG({f})', 8)} AS mean, {_r(f
        CAST(MIN({f}) AS DOUBLE) AS min, {_r(f'quantile_cont({f}, 0.25)', 8)} AS p25, {_r(f'quantile_cont({f}, 0.5)', 8)} AS p50,
        {_r(f'quantile_cont({f}, 0.75)', 8)} AS p75, CAST(MAX({f}) AS DOUBLE) AS max FROM mart_physical_condition""" for f in _PF))
 def _(c):
-    d = R.describe_columns(c.mart_pc, _PF)
+    d = _report(c, "describe")
     return d.select("column", "count", *[X.round_half_up(x, 8).alias(x) for x in ("mean", "std")], "min",
                     *[X.round_half_up(x, 8).alias(x) for x in ("p25", "p50", "p75")], "max")
 
@@ -278,7 +289,7 @@ def _(c):
 @q("pl_14_null_counts", stage_ctes("mart_physical_condition") + "\nUNION ALL\n".join(
     f"SELECT '{f}' AS column, COUNT(*) - COUNT({f}) AS n_null FROM mart_physical_condition" for f in MART_PC_COLUMNS))
 def _(c):
-    return R.null_counts(c.mart_pc)
+    return _report(c, "null_counts")
 
 
 @q("ml_15_injury_scoring_table")
@@ -293,7 +304,6 @@ def _(c):
 
 @q("pl_12_injury_prevention")
 def _(c):
-    from ..operators import sinks as S
     path = c.scratch("ml_injury_predictions")
     S.write_table(MJ.injury_scoring(c.mart_pc, model=_model(c, "gbt")), path)     # truncate + replace
     return S.read_table(c.spark, path)
@@ -301,7 +311,6 @@ def _(c):
 
 @q("pl_13_player_profiling")
 def _(c):
-    from ..operators import sinks as S
     path = c.scratch("ml_player_clusters")
     S.write_table(MJ.player_clusters(c.mart_player, model=_model(c, "kmeans")), path)
     return S.read_table(c.spark, path)
@@ -309,4 +318,106 @@ def _(c):
 
 @q("pl_14_exploration_report")
 def _(c):
-    return MJ.top_by_profile(MJ.modal_profile(MJ.session_clusters(c.mart_pc)))
+    return MJ.exploration_report(c.mart_pc)["top_by_profile"]()
+
+
+# ------------------------------------------------------------------ what must hold of fitted models, whatever they learn
+
+
+def _holds(*rules: str) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{r}' AS rule, CAST(0 AS BIGINT) AS failing_rows" for r in rules)
+
+
+def _failing(rules: dict):
+    """(rule, failing_rows) of frames of the rows that break each rule."""
+    parts = [bad.agg(F.count(F.lit(1)).alias("failing_rows")).select(F.lit(rule).alias("rule"), "failing_rows") for rule, bad in rules.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _other_keys(a, b, keys):
+    """Keys of one frame that the other lacks or has more often."""
+    count = lambda df: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return count(a).exceptAll(count(b)).unionByName(count(b).exceptAll(count(a)))
+
+
+def _no_probability(df, column):
+    return df.filter(F.col(column).isNull() | F.isnan(column) | ~F.col(column).between(0, 1))
+
+
+@q("ml_6_tree_invariants", _holds("a score for every test row", "scores are probabilities", "scores differ", "positives score higher"))
+def _(c):
+    _, test = _injury_train_test(c)
+    scored = M.positive_probability(_model(c, "gbt"), test, MJ.model_columns(), "p")
+    means = scored.agg(F.avg(F.when(F.col("injury_risk") == 1, F.col("p"))).alias("one"), F.avg(F.when(F.col("injury_risk") == 0, F.col("p"))).alias("zero"),
+                       F.min("p").alias("least"), F.max("p").alias("most"))
+    fitted = _injury_train_test(c)[0]
+    train = M.positive_probability(_model(c, "gbt"), fitted, MJ.model_columns(), "p").agg(
+        F.avg(F.when(F.col("injury_risk") == 1, F.col("p"))).alias("one"), F.avg(F.when(F.col("injury_risk") == 0, F.col("p"))).alias("zero"))
+    return _failing({"a score for every test row": _other_keys(test, scored, ["session_id"]), "scores are probabilities": _no_probability(scored, "p"),
+                     "scores differ": means.filter("least >= most"), "positives score higher": train.filter("one <= zero")})
+
+
+@q("ml_7_forest_invariants", _holds("a score for every test row", "scores are probabilities", "scores differ"))
+def _(c):
+    test = MJ.injury_split(c.mart_pc, epsilon=0.0, features=MJ.EXPLORATION_INJURY_FEATURES).filter("is_test")
+    scored = _forest_scores(c)
+    return _failing({"a score for every test row": _other_keys(test, scored, ["session_id"]), "scores are probabilities": _no_probability(scored, "injury_probability"),
+                     "scores differ": scored.agg(F.min("injury_probability").alias("a"), F.max("injury_probability").alias("b")).filter("a >= b")})
+
+
+@q("ml_15_scoring_invariants", _holds("a score for every session", "the probability to 4 places", "alert at 0.20 and above", "reduction follows its band", "stored as scored"))
+def _(c):
+    features = MJ.injury_features(c.mart_pc)
+    plain = M.positive_probability(_model(c, "gbt"), features, MJ.model_columns(), "p").select(F.col("session_id").alias("s"), "p")
+    table = MJ.injury_scoring(c.mart_pc, model=_model(c, "gbt"))
+    both = table.join(plain, table["session_id"] == plain["s"])
+    band = F.when(F.col("p") >= 0.7, 80).when(F.col("p") >= 0.5, 50).when(F.col("p") >= 0.2, 15).otherwise(0)
+    path = c.scratch("ml_injury_predictions")
+    S.write_table(table, path)
+    return _failing({"a score for every session": _other_keys(features, table, ["session_id"]),
+                     "the probability to 4 places":
+                         both.filter(F.abs(F.col("injury_probability") - F.col("p")) > 0.00005001),
+                     "alert at 0.20 and above": both.filter((F.col("injury_alert") == 1) != (F.col("p") >= 0.2)),
+                     "reduction follows its band": both.filter(~F.col("training_intensity_reduction").eqNullSafe(band)),
+                     "stored as scored": _other_keys(S.read_table(c.spark, path), table, table.columns)})
+
+
+@q("ml_11_cluster_invariants", _holds("a cluster for every player", "clusters are 0, 1 and 2", "every player is nearest its centre", "labels follow the mean score", "stored as clustered"))
+def _(c):
+    model, z = _model(c, "kmeans"), MJ.scaled_profiles(c.mart_player)
+    columns = [f + "_z" for f in _PF]
+    placed = M.assign_clusters(model, z, columns)
+    away = [sum((F.col(x) - F.lit(float(v))) ** 2 for x, v in zip(columns, centre, strict=True)) for centre in model.clusterCenters()]
+    own = F.element_at(F.array(*away), F.col("profil") + 1)
+    table = MJ.player_clusters(c.mart_player, model=model)
+    means = table.groupBy("profil_label").agg(F.avg("performance_score_match").alias("m"))
+    place = F.array_position(F.array(*[F.lit(x) for x in M.PROFILE_LABELS]), F.col("profil_label"))
+    ranked = means.select("m", place.alias("place"))
+    later = ranked.alias("a").join(ranked.alias("b"), F.expr("b.place = a.place + 1 and b.m > a.m"))   # a row a label
+    path = c.scratch("ml_player_clusters")
+    S.write_table(table, path)
+    return _failing({"a cluster for every player": _other_keys(z, placed, ["player_id"]), "clusters are 0, 1 and 2": placed.filter(~F.col("profil").isin(0, 1, 2)),
+                     "every player is nearest its centre": placed.filter(own > F.least(*away) + 1e-9), "labels follow the mean score": later,
+                     "stored as clustered": _other_keys(S.read_table(c.spark, path), table, table.columns)})
+
+
+@q("ml_12_elbow_invariants", _holds("a cost for k of 1 to 10", "costs are not negative", "one cluster costs the sum of squares", "ten clusters cost less than one"))
+def _(c):
+    curve, z = _elbow(c), MJ.scaled_sessions(c.mart_pc)
+    whole = z.agg(reduce(lambda a, b: a + b, [F.var_pop(f + "_z") * F.count(f + "_z") for f in _PF]).alias("squares"))
+    ks = c.spark.range(1, 11).select(F.col("id").cast("int").alias("k"))
+    ends = curve.agg(F.max(F.when(F.col("k") == 1, F.col("wcss"))).alias("one"), F.max(F.when(F.col("k") == 10, F.col("wcss"))).alias("ten"))
+    return _failing({"a cost for k of 1 to 10": _other_keys(ks, curve, ["k"]), "costs are not negative": curve.filter("wcss < 0"),
+                     "one cluster costs the sum of squares": curve.filter("k = 1").crossJoin(whole).filter("abs(wcss - squares) > 1e-6 * squares"),
+                     "ten clusters cost less than one": ends.filter("ten >= one")})
+
+
+@q("pl_14_report_invariants", _holds("counts add up", "recall does not rise", "at most five a cluster", "only named clusters"))
+def _(c):
+    sweep = M.threshold_sweep(_forest_scores(c), "injury_risk", "injury_probability")
+    rows = MJ.injury_split(c.mart_pc, epsilon=0.0, features=MJ.EXPLORATION_INJURY_FEATURES).filter("is_test").agg(F.count(F.lit(1)).alias("rows"))
+    best = MJ.exploration_report(c.mart_pc)["top_by_profile"]()
+    return _failing({"counts add up": sweep.crossJoin(rows).filter("tp + fp + fn + tn != rows"),
+                     "recall does not rise": sweep.alias("a").join(sweep.alias("b"), F.expr("a.threshold < b.threshold and a.recall < b.recall")),
+                     "at most five a cluster": best.groupBy("profil").agg(F.count(F.lit(1)).alias("n")).filter("n > 5"),
+                     "only named clusters": best.filter(~F.col("profil").isin(0, 1))})
