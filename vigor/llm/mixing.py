@@ -11,7 +11,8 @@ the one whose words come nearest the fraction, so a source misses its target by
 document, in a small source).
 
 Defined cases: a null text has size 0; a null source is a source of its own, ranked last; a source without words
-has target 0; repeated rows are documents of their own and draw alike; an empty table gives an empty result.
+has target 0; rows that repeat a doc_id are documents of their own and draw alike; rows without doc_id are drawn by their text, and
+equal ones apart; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -62,9 +63,13 @@ def mix(docs: DataFrame, *, max_epochs: float = 3.0, weights: tuple[int, ...] =
     ``taken`` is ``size * copies``.  With ``carry`` the row of the input comes along as the struct ``row``.
     """
     row = [F.struct("*").alias("row")] if carry else []
-    sized = stored(docs.select(
-        "doc_id", "source", *row, word_count(F.col("text")).alias("size"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(BUCKETS)).cast("int").alias("_bucket")), "sized")
+    rows = docs.select("doc_id", "source", *row, word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("_text"))
+    # Rows without doc_id are told apart by their text and, equal ones, by a rank among them, so that they spread over buckets as others do.
+    nameless = rows.filter(F.col("doc_id").isNull()).withColumn("_at", F.monotonically_increasing_id())
+    nameless = global_rank(nameless, [F.col("_text"), F.col("_at")], "_rank", per=["_text"]).drop("_at")
+    spread = rows.filter(F.col("doc_id").isNotNull()).withColumn("_rank", F.lit(0).cast("long")).unionByName(nameless)
+    bucket = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "_text", "_rank")).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id")))
+    sized = stored(spread.withColumn("_bucket", F.pmod(bucket, F.lit(BUCKETS)).cast("int")).drop("_text", "_rank"), "sized")
     buckets = stored(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "buckets")
     sizes = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
     sources = stored(cyclic_weights(sizes, weights), "sources")
