@@ -128,6 +128,17 @@ def test_mixing_targets_and_copies(spark, docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mixing_spreads_rows_without_doc_id(spark):
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(None, "same five words of text", "en", "a")] * 200 + [(None, f"word {i} of five words", "en", "a") for i in range(100)]
+    rows += [(i, "three more words " * 2, "en", "b") for i in range(300)]
+    out = mixing.mix(spark.createDataFrame(rows, schema).repartition(4), weights=(1, 3))
+    sums = {r["source"]: r for r in out.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.count("*").alias("n")).collect()}
+    assert all(abs(r["taken"] - r["target"]) <= 12 and r["n"] == 300 for r in sums.values()), sums
+    again = mixing.mix(spark.createDataFrame(rows, schema).repartition(7), weights=(1, 3))
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+
+
 def test_mixing_stays_native(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
@@ -206,6 +217,9 @@ def test_id_files(spark, tmp_path, rows, empty):
         assert np.frombuffer(bytes(got[d]["ids"]), "<u4").tolist() == want
         assert got[d]["block_start"] + got[d]["start_in_block"] == start
         start += len(want)
+    many = [*range(-5000, 15_000)]
+    assert by_id(id_files.read(spark, target, many)).keys() == {d for d in by_id(id_files.read(spark, target)) if d is not None}
+    assert id_files.ranges([1, 2, 9, 10, 50], 2) == [(1, 10), (50, 50)] and id_files.ranges([]) == []
     few = by_id(id_files.read(spark, target, [3, 60]))
     assert sorted(few) == [3, 60] and np.frombuffer(bytes(few[60]["ids"]), "<u4").tolist() == ids[60]
     raw = np.array(ids[3], "<u4").tobytes()

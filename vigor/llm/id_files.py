@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -193,19 +193,29 @@ def write(docs: DataFrame, target: str, path: str | None = None, end_id: int = 2
 
 # -- reading ------------------------------------------------------------------------------------------------------
 
+RANGES = 64
+
+
+def ranges(ids: list[int], most: int = RANGES) -> list[tuple[int, int]]:
+    """Sorted ids in at most ``most`` ranges, cut where the gaps are widest."""
+    gaps = sorted(range(1, len(ids)), key=lambda i: ids[i - 1] - ids[i])[:most - 1]
+    cuts = [0, *sorted(gaps), len(ids)]
+    return [(ids[a], ids[b - 1]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+
+
 def read(spark: SparkSession, target: str, doc_ids: list[int] | None = None) -> DataFrame:
     """(shard, block, place, doc_id, start_in_block, ids) of every document, or of a few by random access.
 
-    ``ids`` is binary, 32-bit little-endian.  With ``doc_ids`` blocks are pruned by their doc range and only the
-    bytes of the documents asked for are unpacked.
+    ``ids`` is binary, 32-bit little-endian.  With ``doc_ids``, any number of them, blocks are pruned by their doc range and only the
+    bytes of the documents asked for are unpacked: files by up to ``RANGES`` ranges that hold them, then blocks one by one.
     """
     files = spark.read.schema(BLOCKS).parquet(target)
     wanted = None if doc_ids is None else frozenset(doc_ids)
     if wanted is not None:
-        hit = F.lit(False)
-        for d in sorted(wanted):
-            hit |= (F.col("first_doc") <= d) & (F.col("last_doc") >= d)
-        files = files.filter(hit)
+        listed = sorted(wanted)
+        hit = reduce(lambda a, b: a | b, [(F.col("first_doc") <= high) & (F.col("last_doc") >= low) for low, high in ranges(listed)], F.lit(False))
+        files = files.filter(hit).filter(F.exists(F.lit(listed) if listed else F.array().cast("array<bigint>"),
+                                                  lambda d: d.between(F.col("first_doc"), F.col("last_doc"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
