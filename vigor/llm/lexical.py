@@ -43,7 +43,7 @@ BUCKET = 4096
 BUCKET_ENTRIES = 1 << 20
 #: Documents that give the first k-th scores, and terms of an item that are summed before the bound.
 SEEDS = 8192
-FOCUS = 8
+FOCUS = 32
 
 _TERM = np.zeros(256, bool)
 _TERM[ord("0"):ord("9") + 1] = _TERM[ord("a"):ord("z") + 1] = _TERM[ord("A"):ord("Z") + 1] = _TERM[0x80:] = True
