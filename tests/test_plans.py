@@ -41,3 +41,12 @@ def test_rolling_stats_join_is_not_a_window_over_raw_rows(spark):
     window_at = text.index("Window [")
     assert "HashAggregate(keys=[user_id" in text[window_at:]
     assert "SinglePartition" not in _plan(df)
+
+
+def test_keep_one_is_limited_before_the_shuffle(spark):
+    from vigor.operators import relational as R
+    df = spark.range(100).selectExpr("id % 3 AS k", "id AS v", "cast(id AS string) AS s")
+    text = _plan(R.dedup_keep_one(df, ["k"]))
+    assert "SortAggregate" not in text and text.count("WindowGroupLimit") == 2
+    below = text[text.index("Exchange"):]
+    assert "Partial" in below and "WindowGroupLimit" in below
