@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -38,12 +38,24 @@ INFERRED = ("bigint", "double", "date", "timestamp")
 
 
 def inferred_types(df: DataFrame) -> dict[str, str]:
-    """The type that all values of each text column fit (string if none, or without values): one aggregate, a row to the driver."""
-    aggs = [f(F.col(f"`{c}`")).alias(f"c{i}_{n}") for i, c in enumerate(df.columns)
-            for n, f in enumerate([F.count, *(lambda v, t=t: F.count(v.try_cast(t)) for t in INFERRED)])]
-    row = df.agg(*aggs).first()
-    return {c: next((t for n, t in enumerate(INFERRED, 1) if row[f"c{i}_0"] and row[f"c{i}_{n}"] == row[f"c{i}_0"]), "string")
-            for i, c in enumerate(df.columns)}
+    """The type that all values of each text column fit (string if none, or without values): one aggregate, a row to the driver.
+
+    Values that don't begin like a number or a date aren't parsed; a failed parse costs far more than a look at the first character.
+    """
+    likely = lambda t: F.when(F.col("v").rlike(r"^\s*[-+.0-9]"), F.col("v").try_cast(t))
+    found = _per_column(df, {c: F.col(f"`{c}`") for c in df.columns}, [F.count("v").alias("n"), *[F.count(likely(t)).alias(t) for t in INFERRED]])
+    return {r["column_name"]: next((t for t in INFERRED if r["n"] and r[t] == r["n"]), "string") for r in found.collect()}
+
+
+def _per_column(df: DataFrame, values: dict[str, Column], aggregates: list[Column]) -> DataFrame:
+    """(column_name, aggregates) over the values ``v`` of each column: one pass over rows of (column, value), added up before the shuffle.
+
+    Aggregates beside each other would be one expression a column and type, whose code takes longer to compile than to run.
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("v")) for c, v in values.items()]))
+    found = df.select(pairs).groupBy("column_name").agg(*aggregates)
+    names = df.sparkSession.createDataFrame([(c,) for c in values], "column_name string")
+    return names.join(found, "column_name", "left").na.fill(0)
 
 
 def read_csv_inferred(spark: SparkSession, path: str, staged: str, corrupt: str = "_corrupt_record") -> tuple[DataFrame, DataFrame]:
@@ -72,17 +84,9 @@ def _blank_to_null(c: str):
 
 def narrowing_decisions(df: DataFrame) -> DataFrame:
     """(column_name, n_values, n_numeric, n_fractional, decided_type), one aggregate pass."""
-    aggs = []
-    for i, c in enumerate(df.columns):
-        v = _blank_to_null(c)
-        num = v.try_cast("double")
-        aggs += [F.count(v).alias(f"v{i}"), F.count(num).alias(f"n{i}"),
-                 F.count_if(num != F.round(num)).alias(f"f{i}")]
-    row = df.agg(*aggs)
-    items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("n_values"),
-                               F.col(f"n{i}").alias("n_numeric"), F.col(f"f{i}").alias("n_fractional"))
-                      for i, c in enumerate(df.columns)])
-    out = row.select(F.explode(items).alias("d")).select("d.*")
+    num = F.col("v").try_cast("double")
+    out = _per_column(df, {c: _blank_to_null(c) for c in df.columns}, [
+        F.count("v").alias("n_values"), F.count(num).alias("n_numeric"), F.count_if(num != F.round(num)).alias("n_fractional")])
     decided = (F.when(F.col("n_numeric") < F.col("n_values"), "string")
                 .when(F.col("n_fractional") == 0, "bigint").otherwise("double"))
     return out.withColumn("decided_type", decided)
