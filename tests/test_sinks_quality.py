@@ -59,8 +59,9 @@ def test_rule_violations_null_fails(spark):
     rules = [Q.Rule("p_range", "p IS NOT NULL AND p BETWEEN 0 AND 1"), Q.not_null("id")]
     got = sorted(tuple(r) for r in Q.rule_violations(df, "t", rules).collect())
     assert got == [("t", "not_null_id", 1), ("t", "p_range", 2)]
-    with pytest.raises(ValueError):
-        Q.enforce(Q.rule_violations(df, "t", rules))
+    with pytest.raises(Q.QualityError) as e:
+        Q.stop_if_broken(got)
+    assert e.value.violations == got
 
 
 def test_unique_violations(spark):

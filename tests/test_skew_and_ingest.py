@@ -119,7 +119,7 @@ def test_enforce_names_every_broken_rule(spark):
     df = spark.createDataFrame([(1,)], "k long")
     rules = [Q.check(f"never_{i}", "k > 1") for i in range(30)]
     with pytest.raises(ValueError) as e:
-        Q.enforce(Q.rule_violations(df, "t", rules))
+        Q.stop_if_broken([tuple(r) for r in Q.rule_violations(df, "t", rules).collect()])
     assert all(f"t.never_{i}=1" in str(e.value) for i in range(30))
 
 
