@@ -180,10 +180,14 @@ SELECT * FROM o_target t WHERE NOT EXISTS (SELECT 1 FROM mart_game s WHERE s.gam
 UNION ALL SELECT * FROM mart_game"""
 
 
+#: Game ids of a partition of the stored game mart, which has no season: some tens of MB of rows.
+GAME_BLOCK = 250_000
+
+
 def merged(c, name, stale, now, keys, partition_by):
     """``now`` merged into a stored table of ``stale``, as the table reads afterwards (without its load times)."""
     path = c.scratch(name)
-    with_block = lambda df: df.withColumn("game_block", F.expr("game_id div 100")) if "game_block" in partition_by else df
+    with_block = lambda df: df.withColumn("game_block", F.expr(f"game_id div {GAME_BLOCK}")) if "game_block" in partition_by else df
     stale, now = with_block(stale), with_block(now)
     G.merge_table(stale, path, keys, partition_by, stamp="updated_at")
     G.merge_table(now, path, keys, partition_by, stamp="updated_at")
