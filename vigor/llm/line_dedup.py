@@ -4,7 +4,8 @@ A line's key is the line stripped of ASCII white space and with A-Z lower-cased;
 points are left alone.  The exact side is the table of references, one row per key and document
 (:func:`references`); counts per key come from it by a plain aggregate, partial before the shuffle, so a key that a
 third of all documents hold is one row per task.  Inserting documents adds references, deleting them takes theirs
-away (:class:`LineIndex`), and counts after both are what they would be had the documents never come.
+away (:class:`LineIndex`), and counts after both are what they would be had the documents never come; keys that come to
+the threshold are inserted in their shard's stored filter, keys that fall below it deleted from it.
 
 The keys that lose lines are put in cuckoo filters, one per shard of the key space.  A reference first asks its
 shard's filter, in tasks that hold one filter and stream references past it (a shard's references are dealt to
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sinks import file_system
 from ..session import ensure_checkpoint_dir
 from .shared import chunks, input_partitions, stored, table
 
@@ -248,38 +250,130 @@ def cleaned(docs: DataFrame, **options) -> DataFrame:
     return out.select(*[mine.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
+def _changed_filters(crossing: DataFrame, filters: DataFrame) -> DataFrame:
+    """(shard, filter) of the shards of ``crossing`` (shard, key, up): keys that go down are deleted, those that come up inserted.
+
+    The filter of a shard that got too full is null; it has to be built from its keys.
+    """
+    def run(key: tuple, keys: pa.Table, stored_filter: pa.Table) -> pa.Table:
+        up = keys.column("up").to_numpy()
+        moved = as_words(keys.column("key").to_pylist())
+        try:
+            if stored_filter.num_rows:
+                made = Cuckoo.of(stored_filter.column("filter")[0].as_py())
+                made.delete(moved[~up])
+                made.insert(moved[up])
+            else:
+                made = build(moved[up])
+            raw = made.raw()
+        except ValueError:
+            raw = None
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([raw], pa.binary())})
+
+    touched = filters.join(crossing.select("shard").distinct(), "shard", "left_semi")
+    return crossing.groupBy("shard").cogroup(touched.groupBy("shard")).applyInArrow(run, "shard int, filter binary")
+
+
 class LineIndex:
-    """References kept between runs: documents come and go, and decisions are as if only those still in had ever come.
+    """References, exact counts and filters kept between runs: documents come and go, and decisions are as if only those still in had ever come.
 
-    Every change is a table of signed references beside the earlier ones, so a failed run leaves the index as it was.
+    A change is a numbered batch of three tables.  ``refs`` holds its signed references; ``counts`` the keys it touched
+    that are or were in ``min_docs`` documents, counted anew from the references of those keys only; ``filters`` the filters of
+    the shards in which a key crossed that threshold, with it inserted or deleted.  The newest row of a key or shard
+    holds.  A shard that overflows is built from its keys, and all are when there are more than ``shard_keys`` keys a shard.
+
+    The filters are written last, and a batch without them doesn't count: a failed change leaves the index as it was,
+    and the next one takes its number.  One change runs at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, min_chars: int = MIN_CHARS):
-        self.spark, self.min_chars = spark, min_chars
-        self.path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/lines-{uuid.uuid4().hex[:12]}"
+    _TABLES = {"refs": "key binary, doc_id long, sign int, batch int", "counts": "key binary, n_docs long, last_doc long, batch int",
+               "filters": "shard int, filter binary, shards int, batch int"}
 
-    def _add(self, refs: DataFrame) -> None:
-        refs.write.mode("append").parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
+                 shard_keys: int = SHARD_KEYS):
+        self.spark, self.min_chars, self.min_docs, self.shard_keys = spark, min_chars, min_docs, shard_keys
+        self.path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/lines-{uuid.uuid4().hex[:12]}"
 
     def insert(self, docs: DataFrame) -> None:
         """Add documents.  An id that is in the index already, as after a retried insert, adds its keys once more; a deletion takes all."""
-        self._add(references(docs, self.min_chars).distinct().withColumn("sign", F.lit(1)))
+        self._change(references(docs, self.min_chars).distinct().withColumn("sign", F.lit(1)))
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Take the documents of ``doc_ids`` (doc_id) out again."""
         gone = self._counted().join(doc_ids.select("doc_id").distinct(), "doc_id", "left_semi")
-        self._add(stored(gone.select("key", "doc_id", (-F.col("n")).cast("int").alias("sign")), "deleted"))
-
-    def _counted(self) -> DataFrame:
-        signed = self.spark.read.schema("key binary, doc_id long, sign int").parquet(self.path)
-        return signed.groupBy("key", "doc_id").agg(F.sum("sign").alias("n")).filter("n > 0")
+        self._change(gone.select("key", "doc_id", (-F.col("n")).cast("int").alias("sign")))
 
     def references(self) -> DataFrame:
         return self._counted().select("key", "doc_id")
 
-    def losses(self, min_docs: int = MIN_DOCS) -> DataFrame:
-        refs = stored(self.references(), "references")
-        return losses(refs, reference_counts(refs), min_docs)
+    def losses(self) -> DataFrame:
+        """(doc_id, keys): the keys whose lines each document loses, by the stored filters and counts."""
+        frequent, shards = self._frequent(), self._shards()
+        if not shards:
+            return self.references().groupBy("doc_id").agg(F.collect_set("key").alias("keys")).limit(0)
+        maybe = maybe_held(self.references(), self._filters(shards), shards)
+        lost = maybe.join(frequent, "key").filter(F.col("doc_id") < F.col("last_doc"))
+        return lost.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+
+    def _batch(self) -> int:
+        """Number of the last whole batch, 0 if there is none."""
+        fs, folder = file_system(self.spark, f"{self.path}/filters")
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        whole = [n for n in names if fs.exists(file_system(self.spark, f"{self.path}/filters/{n}/_SUCCESS")[1])]
+        return max((int(n.removeprefix("batch=")) for n in whole), default=0)
+
+    def _read(self, name: str, upto: int | None = None) -> DataFrame:
+        """The batches of a table up to ``upto`` (by default the last whole one)."""
+        upto = self._batch() if upto is None else upto
+        if not upto:
+            return self.spark.createDataFrame([], self._TABLES[name])
+        return self.spark.read.schema(self._TABLES[name]).parquet(f"{self.path}/{name}").filter(F.col("batch") <= upto)
+
+    def _write(self, df: DataFrame, name: str, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+
+    def _counted(self) -> DataFrame:
+        return self._read("refs").groupBy("key", "doc_id").agg(F.sum("sign").alias("n")).filter("n > 0")
+
+    def _frequent(self, upto: int | None = None) -> DataFrame:
+        """(key, last_doc) of the keys that are in ``min_docs`` documents."""
+        newest = self._read("counts", upto).groupBy("key").agg(F.max_by(F.struct("n_docs", "last_doc"), "batch").alias("c"))
+        return newest.filter(F.col("c.n_docs") >= self.min_docs).select("key", F.col("c.last_doc").alias("last_doc"))
+
+    def _shards(self) -> int:
+        row = self._read("filters").agg(F.max_by("shards", "batch")).first()
+        return row[0] or 0
+
+    def _filters(self, shards: int) -> DataFrame:
+        rows = self._read("filters").filter(F.col("shards") == shards)
+        return rows.groupBy("shard").agg(F.max_by("filter", "batch").alias("filter"))
+
+    def _change(self, signed: DataFrame) -> None:
+        batch = self._batch() + 1
+        self._write(signed.select("key", "doc_id", "sign"), "refs", batch)
+        touched = self._read("refs", batch).filter(F.col("batch") == batch).select("key").distinct()
+        held = self._read("refs", batch).join(touched, "key", "left_semi").groupBy("key", "doc_id").agg(
+            F.sum(F.when(F.col("batch") < batch, F.col("sign")).otherwise(0)).alias("was"), F.sum("sign").alias("now"))
+        counts = held.groupBy("key").agg(F.count_if(F.col("was") > 0).alias("n_was"), F.count_if(F.col("now") > 0).alias("n_docs"),
+                                         F.max(F.when(F.col("now") > 0, F.col("doc_id"))).alias("last_doc"))
+        moved = stored(counts.filter(F.greatest("n_was", "n_docs") >= self.min_docs), "moved")
+        self._write(moved.select("key", "n_docs", "last_doc"), "counts", batch)
+
+        shards, keys = self._shards(), self._frequent(batch).select("key")
+        need = -(-keys.count() // self.shard_keys)
+        if need > shards:
+            shards = need if not shards else 2 * need   # room to grow: all filters are built anew
+            filters = shard_filters(keys, shards)
+        elif shards:
+            up, down = F.col("n_docs") >= self.min_docs, F.col("n_was") >= self.min_docs
+            crossing = moved.filter(up != down).select(_shard(shards).alias("shard"), "key", up.alias("up"))
+            changed = stored(_changed_filters(crossing, self._filters(shards)), "filters")
+            full = changed.filter("filter IS NULL").select("shard")
+            again = keys.join(full, _shard(shards) == F.col("shard"), "left_semi")
+            filters = changed.filter("filter IS NOT NULL").unionByName(shard_filters(again, shards))
+        else:
+            filters = self.spark.createDataFrame([], "shard int, filter binary")
+        self._write(filters.withColumn("shards", F.lit(shards)), "filters", batch)
 
 
 def query(spark, sf_dir):
