@@ -12,7 +12,7 @@ hash.  Two sets that link share a shingle in the first ``n - ceil(t * n) + 1`` o
    is a shingle that only one side has; pairs that pass are held against wider ones.  What passes is verified and complete the components.
 
 Verification intersects the two sorted shingle arrays.  A link within a component of step 1 can't change it and
-isn't looked for.  A doc_id names one text: rows that repeat one
+isn't looked for (:mod:`ngram_links` finds them all).  A doc_id names one text: rows that repeat one
 are copies.  No list is cut short: a list of any length is compared whole, over as many tasks as it has pairs of tiles.
 
 Defined cases: a null or wordless text has an empty set and links with nothing; one with fewer than n words has its word
@@ -167,9 +167,9 @@ def may_link(n1: np.ndarray, n2: np.ndarray, differing: np.ndarray, share: tuple
     return share[1] * most >= share[0] * (n1 + n2 - most)
 
 
-def tiled_pairs(postings: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) of ``postings`` (token, rep, n, component, bits) that share a token and may link."""
-    size = postings.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
+def tiled_pairs(postings: DataFrame, share: tuple[int, int], rows: int | None = None) -> DataFrame:
+    """Pairs (a, b) of ``postings`` (token, rep, n, component, bits) that share a token and may link, in tiles of ``rows`` (``TILE``)."""
+    size = postings.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / (rows or TILE)).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     cut = postings.join(size, "token").withColumn("tile", tile)
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")
