@@ -109,3 +109,21 @@ def test_exploration_features_use_the_raw_ratio(spark):
     assert [(r.session_id, r.acwr) for r in out.collect()] == [("a", 1.0)]
     columns = MJ.model_columns(MJ.EXPLORATION_INJURY_FEATURES)
     assert len(columns) == 11 and set(columns) <= set(out.columns)
+
+
+def test_fits_have_no_more_partitions_than_rows_or_cores_ask_for(spark):
+    """A small cached frame has few partitions, whatever the number of shuffle partitions."""
+    class Estimator:
+        def fit(self, data):
+            return data.rdd.getNumPartitions(), data.count()
+
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        df = spark.range(6000).select((F.col("id") % 900).alias("g"), F.col("id").cast("double").alias("x")).groupBy("g").agg(F.sum("x").alias("x"))
+        assert M._fit(Estimator(), df.withColumn("y", F.lit(1)), ["x"], "y", None) == (1, 900)
+        kept = M._kept(M.assemble(df, ["x"]).select("features"), "few")
+        assert (kept.rdd.getNumPartitions(), kept.count()) == (1, 900)
+        kept.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert [M.fit_partitions(n, 12) for n in (0, 1, 5001, 500_000, 30_000_000)] == [1, 1, 2, 12, 30]
