@@ -45,7 +45,7 @@ def _(c):
     parts = []
     for name in _RAW_TABLES:
         raw, csv, table = c.raw(name), c.scratch(f"csv_{name}"), c.scratch(f"raw_{name}")
-        raw.repartition(3).write.option("header", True).csv(csv)
+        raw.write.option("header", True).csv(csv)
         header = ",".join(raw.columns)
         c.spark.createDataFrame([(f"{header}\nbroken{',x' * len(raw.columns)}",)], "value string").coalesce(1).write.mode("append").text(csv)
         rows, broken = I.read_csv_inferred(c.spark, csv, c.scratch(f"lines_{name}"))

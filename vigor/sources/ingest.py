@@ -37,20 +37,53 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, i
 INFERRED = ("bigint", "double", "date", "timestamp")
 
 
+#: Rows looked at first, only to rule types out.
+LOOKED_AT = 2_000
+
+
 def inferred_types(df: DataFrame) -> dict[str, str]:
-    """The type that all values of each text column fit (string if none, or without values): one aggregate, a row to the driver.
+    """The type that all values of each text column fit (string if none, or without values).
 
-    Values that don't begin like a number or a date aren't parsed; a failed parse costs far more than a look at the first character.
+    A type that one value doesn't fit is out, so a look at a few rows leaves few to test; what is left is tested on all rows, the first
+    type of each column at a time, and a column goes on only if a value of another row doesn't fit.  A row a pass reaches the driver.
     """
-    likely = lambda t: F.when(F.col("v").rlike(r"^\s*[-+.0-9]"), F.col("v").try_cast(t))
-    found = _per_column(df, {c: F.col(f"`{c}`") for c in df.columns}, [F.count("v").alias("n"), *[F.count(likely(t)).alias(t) for t in INFERRED]])
-    return {r["column_name"]: next((t for t in INFERRED if r["n"] and r[t] == r["n"]), "string") for r in found.collect()}
+    likely = [F.count(_likely(F.col("v"), t)).alias(t) for t in INFERRED]
+    looked = _per_column(df.limit(LOOKED_AT), {c: F.col(f"`{c}`") for c in df.columns}, [F.count("v").alias("n"), *likely])
+    left = {r["column_name"]: [t for t in INFERRED if r[t] == r["n"]] for r in looked.collect()}
+    types: dict[str, str] = {}
+    while open_ := {c: [*left[c][:1]] for c in df.columns if c not in types}:
+        for c, fits in _fitting(df, open_).items():
+            if not open_[c] or not fits["n"]:
+                types[c] = "string"
+            elif fits[open_[c][0]] == fits["n"]:
+                types[c] = open_[c][0]
+            else:
+                left[c] = left[c][1:]
+    return types
+
+
+def _likely(v: Column, t: str) -> Column:
+    """The value as type ``t``.  One that doesn't begin like a number or a date isn't parsed; a failed parse costs far more than a look at the first character."""
+    return F.when(v.rlike(r"^\s*[-+.0-9]"), v.try_cast(t))
+
+
+def _fitting(df: DataFrame, types: dict[str, list[str]]) -> dict[str, dict[str, int]]:
+    """Per column the number of values (``n``) and of those that fit each of its types; columns without types aren't read."""
+    names = [(c, t) for c, ts in types.items() if ts for t in ("n", *ts)]
+    found = [{}]
+    if names:
+        found = df.agg(*[F.count(F.col(f"`{c}`") if t == "n" else _likely(F.col(f"`{c}`"), t)).alias(f"v{i}") for i, (c, t) in enumerate(names)]).collect()
+    out: dict[str, dict[str, int]] = {c: {"n": 0} for c in types}
+    for i, (c, t) in enumerate(names):
+        out[c][t] = found[0][f"v{i}"]
+    return out
 
 
 def _per_column(df: DataFrame, values: dict[str, Column], aggregates: list[Column]) -> DataFrame:
     """(column_name, aggregates) over the values ``v`` of each column: one pass over rows of (column, value), added up before the shuffle.
 
-    Aggregates beside each other would be one expression a column and type, whose code takes longer to compile than to run.
+    Aggregates beside each other would be one expression a column and type, whose code takes longer to compile than to run
+    where rows are few; for many rows they are the faster way.
     """
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), v.alias("v")) for c, v in values.items()]))
     found = df.select(pairs).groupBy("column_name").agg(*aggregates)
@@ -84,9 +117,13 @@ def _blank_to_null(c: str):
 
 def narrowing_decisions(df: DataFrame) -> DataFrame:
     """(column_name, n_values, n_numeric, n_fractional, decided_type), one aggregate pass."""
-    num = F.col("v").try_cast("double")
-    out = _per_column(df, {c: _blank_to_null(c) for c in df.columns}, [
-        F.count("v").alias("n_values"), F.count(num).alias("n_numeric"), F.count_if(num != F.round(num)).alias("n_fractional")])
+    texts = df.select(*[_blank_to_null(c).alias(f"v{i}") for i, c in enumerate(df.columns)])
+    # only what begins like a number, an infinity or a NaN is parsed, see _likely
+    numbers = texts.select("*", *[F.when(F.col(f"v{i}").rlike(r"^[\s\p{Cntrl}]*[-+.0-9iInN]"), F.col(f"v{i}").try_cast("double")).alias(f"d{i}")
+                                  for i in range(len(df.columns))])
+    row = numbers.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(f"v{i}").alias("n_values"), F.count(f"d{i}").alias("n_numeric"),
+                                 F.count_if(F.col(f"d{i}") != F.round(f"d{i}")).alias("n_fractional")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    out = row.select(F.inline(F.array(*[f"c{i}" for i in range(len(df.columns))])))
     decided = (F.when(F.col("n_numeric") < F.col("n_values"), "string")
                 .when(F.col("n_fractional") == 0, "bigint").otherwise("double"))
     return out.withColumn("decided_type", decided)
