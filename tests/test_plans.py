@@ -50,3 +50,14 @@ def test_keep_one_is_limited_before_the_shuffle(spark):
     assert "SortAggregate" not in text and text.count("WindowGroupLimit") == 2
     below = text[text.index("Exchange"):]
     assert "Partial" in below and "WindowGroupLimit" in below
+
+
+def test_sessions_are_not_shuffled_by_age_and_position(spark, no_broadcast):
+    """Segments are few: their means go to the rows, whatever the size of the tables."""
+    from vigor.plans import pipelines as P
+    c = Ctx(spark, SF_SMALL)
+    raw, players = c.sessions, c.dim_players
+    with no_broadcast():
+        lines = _plan(P.stg_training_sessions(raw, players)).splitlines()
+    assert not [x for x in lines if "Exchange hashpartitioning(coalesce(__age" in x]
+    assert any("BroadcastHashJoin [coalesce(__age" in x for x in lines)
