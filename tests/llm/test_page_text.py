@@ -74,3 +74,34 @@ def test_text_does_not_depend_on_where_runs_begin(spark, monkeypatch):
     for i in range(20, 40):
         assert got[0][i] == got[1][i] == got[2][i]
         assert not i % 10 == 0 or got[0][i] == f"text number {i}"
+
+
+def test_articles_are_differenced(spark):
+    """What most neighbours share at a place of its own goes from a container too; quotations and repeated cells stay."""
+    page = ("<body><div class='x'>Advert {ad}</div><main><ul class='tools'><li>Print this page<li>Send it by mail</ul>"
+            "<h1>Report {i}</h1><p>the text of page {i} and more of it{quote}<table><tr><td>{cell}</table></main>")
+    quote = "<p>a passage that some of the articles quote word by word"
+    rows = [(i, f"http://h.x/{i:02d}", page.format(i=i, ad=i % 5, quote=quote if i % 3 == 0 else "", cell=("rain", "sun")[i % 2])) for i in range(24)]
+    rows += [(100 + i, f"http://few.x/{i}", page.format(i=i, ad=1, quote="", cell="rain")) for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    text = "Report {i} the text of page {i} and more of it{quote} {cell}"
+    want = {i: text.format(i=i, quote=quote.replace("<p>", " ") if i % 3 == 0 else "", cell=("rain", "sun")[i % 2]) for i in range(24)}
+    want |= {100 + i: "Print this page Send it by mail " + text.format(i=i, quote="", cell="rain") for i in range(4)}  # too few to tell
+    assert got == want
+
+
+def test_places_decide_without_a_container(spark):
+    """Adverts that rotate go, quotations stay, and copies that differ by their adverts keep their text."""
+    page = "<body><div class='x'>Advert of the week, number {ad}</div><p>{text}</p><div class='y'>Footer number {foot}</div></body>"
+    quote = "</p><p>a passage that some of the articles quote word by word"
+    texts = [f"the text of page {i} and more words about number {i}{quote if i % 3 == 0 else ''}" for i in range(30)] + ["the same short text"] * 30
+    rows = [(i, f"http://h.x/{i:02d}", page.format(ad=i * 7 % 6, foot=i * 5 % 4, text=x)) for i, x in enumerate(texts)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_text.extract(df).collect()}
+    assert got == {i: x.replace("</p><p>", " ") for i, x in enumerate(texts)}
+
+
+def test_blocks_tell_place_and_standing():
+    page = parse("<body><nav class='top post-12'><a>menu</a></nav><div>outside</div><main><p>in</main>")
+    assert page.blocks == [("menu", "/body/nav.top", html_text.IN_BOILER), ("outside", "/body/div", html_text.OUTSIDE), ("in", "/body/main/p", html_text.INSIDE)]
