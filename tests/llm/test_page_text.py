@@ -1,5 +1,8 @@
 """Layout wrappers with boilerplate words in their names."""
 
+import random
+import time
+
 import pytest
 
 from vigor.llm import html_text
@@ -103,5 +106,26 @@ def test_places_decide_without_a_container(spark):
 
 
 def test_blocks_tell_place_and_standing():
-    page = parse("<body><nav class='top post-12'><a>menu</a></nav><div>outside</div><main><p>in</main>")
-    assert page.blocks == [("menu", "/body/nav.top", html_text.IN_BOILER), ("outside", "/body/div", html_text.OUTSIDE), ("in", "/body/main/p", html_text.INSIDE)]
+    page = parse("<body><nav class='top post-12'><a>menu</a></nav><div>outside</div><main><p>in")
+    assert [(x, stands) for x, _, stands in page.blocks] == [("menu", html_text.IN_BOILER), ("outside", html_text.OUTSIDE), ("in", html_text.INSIDE)]
+    places = [[place for _, place, _ in parse(f"<body>{x}").blocks] for x in ("<nav class='post-7 top'>a</nav><nav>b</nav>", "<div>c<p>d")]
+    assert places[0][0] == page.blocks[0][1] != places[0][1] and places[1][0] == page.blocks[1][1] != places[1][1]
+
+
+def test_lines_that_repeat_are_aligned_as_well(monkeypatch):
+    """Tables of few different cells: bit vectors give a longest common subsequence too, in time."""
+    rnd = random.Random(3)
+    a, b = ([rnd.choice("abc") for _ in range(3000)] for _ in range(2))
+    start = time.perf_counter()
+    got = html_text.common_lines(a, b)
+    assert time.perf_counter() - start < 0.5
+    rest = iter(b)
+    assert all(x in rest for x in [a[i] for i in sorted(got)])
+    for _ in range(300):
+        a, b = ([rnd.choice("abc") for _ in range(rnd.randint(0, 30))] for _ in range(2))
+        monkeypatch.setattr(html_text, "DENSE", 1 << 30)
+        listed = html_text.common_lines(a, b)
+        monkeypatch.setattr(html_text, "DENSE", 0)
+        dense = html_text.common_lines(a, b)
+        rest = iter(b)
+        assert len(dense) == len(listed) and all(x in rest for x in [a[i] for i in sorted(dense)])

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,6 +41,8 @@ RUN = 64
 SURE = 8
 #: Share of the characters from which two pages are copies, whose common lines say nothing of boilerplate.
 COPY = 0.9
+#: Pairs of equal lines per line from which on they aren't listed.
+DENSE = 32
 
 # The elements of HTML by how they matter to text.
 RAW = {"script", "style", "title", "textarea"}
@@ -94,9 +97,9 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class Page:
     """Blocks of a page: text, place and where it stands (IN_BOILER, OUTSIDE or INSIDE); lines: those outside boilerplate, and whether they lie in an article container.
 
-    A place is the path of a block's elements with their classes.  Scripts, styles and titles are no blocks.
+    A place is a hash of the path of a block's elements with their classes.  Scripts, styles and titles are no blocks.
     """
-    blocks: list[tuple[str, str, int]] = field(default_factory=list)
+    blocks: list[tuple[str, int, int]] = field(default_factory=list)
     lines: list[tuple[str, bool]] = field(default_factory=list)
     has_article: bool = False
 
@@ -134,13 +137,17 @@ def _standing(tag: str, raw: str, in_article: bool) -> tuple[int, int]:
     return NAMED if container != MAIN and tag not in ("html", "body") and _names_boilerplate(have, in_article) else KEPT, container
 
 
-def _step(tag: str, raw: str) -> str:
-    """An element's part of a place: tag and classes.  Classes that number things (post-12) name no place."""
+def _mark(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def _place(outer: int, tag: str, raw: str) -> int:
+    """The place of an element in another: tag and classes.  Classes that number things (post-12) name no place."""
     names = _attributes(raw).get("class", "").lower().split() if raw.strip(" /") else []
-    return ".".join([tag, *sorted(n for n in names if not any(c.isdigit() for c in n))])
+    return _mark(".".join([f"{outer}/{tag}", *sorted(n for n in names if not any(c.isdigit() for c in n))]))
 
 
-def _implied_end(tag: str, stack: list[tuple[str, int, int, str]]) -> int:
+def _implied_end(tag: str, stack: list[tuple[str, int, int, int]]) -> int:
     """How many open elements stay open at a start tag: those that it ends by HTML's rules of omitted end tags go."""
     keep = len(stack)
     if tag not in HEAD_ONLY and tag not in ("head", "html"):
@@ -157,20 +164,20 @@ def _implied_end(tag: str, stack: list[tuple[str, int, int, str]]) -> int:
 def parse(source: str | None) -> Page:
     """Blocks of the page and where they stand.  End tags may be left out where HTML lets them; other unclosed elements end with the one around them."""
     page, text, at = Page(), [], 0
-    blocks: list[tuple[str, str, int, int]] = []  # text, place, inside boilerplate, inside which container
-    stack: list[tuple[str, int, int, str]] = []  # open elements: tag, inside boilerplate, inside which container, place
+    blocks: list[tuple[str, int, int, int]] = []  # text, place, inside boilerplate, inside which container
+    stack: list[tuple[str, int, int, int]] = []  # open elements: tag, inside boilerplate, inside which container, place
     source = source or ""
 
     def flush():
         line = " ".join(entities.unescape("".join(text)).split()) if text else ""
         if line:
-            dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, "")
+            dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, 0)
             blocks.append((line, place, dropped, inside))
         text.clear()
 
     while True:
         found = _TAG.search(source, at)
-        dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, "")
+        dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, 0)
         text.append(source[at:found.start() if found else len(source)])
         if not found:
             break
@@ -184,7 +191,7 @@ def parse(source: str | None) -> Page:
         if not closing and (keep := _implied_end(tag, stack)) < len(stack):
             flush()
             del stack[keep:]
-            dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, "")
+            dropped, inside, place = stack[-1][1:] if stack else (KEPT, NONE, 0)
         if closing:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
@@ -204,7 +211,7 @@ def parse(source: str | None) -> Page:
             elif container == ARTICLE and inside == NONE and boiler < BOILER:
                 boiler, inside = KEPT, SPARE if boiler else ARTICLE
             page.has_article |= inside in (MAIN, ARTICLE) and not boiler
-            stack.append((tag, boiler, inside, place if tag in INLINE else f"{place}/{_step(tag, raw)}"))
+            stack.append((tag, boiler, inside, place if tag in INLINE else _place(place, tag, raw)))
     flush()
     if not page.has_article:
         size = lambda spare: sum(len(x) for x, _, gone, where in blocks if not gone and (where == SPARE) == spare)
@@ -216,6 +223,29 @@ def parse(source: str | None) -> Page:
     return page
 
 
+def _dense(ours: list[tuple[int, object]], theirs: list) -> set[int]:
+    """``common_lines`` of lines that repeat so often that their pairs are too many to list: bit vectors of the rows, then back through them."""
+    where: dict[object, int] = {}
+    for j, x in enumerate(theirs):
+        where[x] = where.get(x, 0) | 1 << j
+    full = (1 << len(theirs)) - 1
+    rows, row = [], full  # a zero bit of a row: the sequence gets longer by the line of that position
+    for _, x in ours:
+        met = row & where[x]
+        row = (row + met | row - met) & full
+        rows.append(row)
+    shared, i, j = set(), len(ours), len(theirs)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                shared.add(ours[i][0])
+                j -= 1
+    return shared
+
+
 def common_lines(a: list, b: list) -> set[int]:
     """Indexes of the lines of ``a`` that lie on a longest common subsequence with ``b``."""
     head = 0
@@ -230,6 +260,9 @@ def common_lines(a: list, b: list) -> set[int]:
     theirs = [x for x in b[head:len(b) - tail] if x in in_a]
     here = set(theirs)
     ours = [(i, x) for i, x in ours if x in here]  # lines of one side only can't be common
+    equal = Counter(theirs)
+    if sum(equal[x] for _, x in ours) > DENSE * (len(ours) + len(theirs)):
+        return shared | _dense(ours, theirs)
     # Patience over positions: the longest chain that rises in both (each line may match any equal line after the last).
     where: dict[str, list[int]] = {}
     for j, x in enumerate(theirs):
@@ -260,10 +293,6 @@ MET = pa.struct([("at", pa.int32()), ("line", pa.int64()), ("place", pa.int64())
 DIFFERENCED = pa.schema([("host", pa.string()), ("digest", pa.string()), ("has_article", pa.bool_()), ("n", pa.int32()), ("met", pa.list_(MET))])
 
 
-def _mark(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
-
-
 def parsed(pages: DataFrame) -> DataFrame:
     """(row, page_id, url, has_article, main, lines, places, sizes, stands): the lines that the structure takes for main text, and marks of every block.
 
@@ -274,7 +303,7 @@ def parsed(pages: DataFrame) -> DataFrame:
         for batch in chunks(batches, "html"):
             found = [parse(h) for h in batch.column("html").to_pylist()]
             main = [[x for x, inside in p.lines if inside == p.has_article] for p in found]
-            marks = [[[_mark(x) for x, _, _ in p.blocks] for p in found], [[_mark(place) for _, place, _ in p.blocks] for p in found],
+            marks = [[[_mark(x) for x, _, _ in p.blocks] for p in found], [[place for _, place, _ in p.blocks] for p in found],
                      [[len(x) for x, _, _ in p.blocks] for p in found], [[stands for _, _, stands in p.blocks] for p in found]]
             yield pa.RecordBatch.from_arrays([
                 pa.array(range(row, row + len(found)), pa.int64()), batch.column("page_id"), batch.column("url"),
