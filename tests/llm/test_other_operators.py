@@ -8,7 +8,8 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from vigor.llm import components, html_text, top_k
+from vigor import session
+from vigor.llm import components, html_text, line_dedup, mixing, ngram_join, quality_rules, top_k
 from vigor.llm.html_text import common_lines, parse
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
@@ -131,3 +132,33 @@ def test_pipeline(spark, tables):
     for _, stage in corpus_pipeline.STAGES:
         none = stage(spark, none, path)
     assert none.count() == 0
+
+
+def test_few_rows_go_to_few_files(spark, tables):
+    path, *_ = tables
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    folder = f"{session.ensure_checkpoint_dir(spark).rstrip('/').removeprefix('file:')}/llm"
+    old = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ngram_join.join(docs).collect()
+        quality_rules.filter_documents(docs).collect()
+        mixing.mix(docs).collect()
+        line_dedup.dedup(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {d.rsplit("-", 1)[0]: sum(x.endswith(".parquet") for x in os.listdir(f"{folder}/{d}")) for d in set(os.listdir(folder)) - old}
+    few = {"classes", "members", "near", "ids", "links", "edges", "stars", "first", "candidates", "fences", "frequent", "buckets", "cuts"}
+    assert few <= set(files) and {d: files[d] for d in few} == dict.fromkeys(few, 1)
+
+
+def test_text_crosses_to_python_once(spark, tables):
+    path, *_ = tables
+    docs = spark.read.parquet(f"{path}/documents.parquet").withColumn("kept", F.lit("clash"))
+    out = quality_rules.filter_documents(docs)
+    assert out.columns == docs.columns and out.filter("kept = 'clash'").exceptAll(docs).count() == 0 < out.count()
+    assert "text, text#" not in out._jdf.queryExecution().optimizedPlan().toString()

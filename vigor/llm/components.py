@@ -27,17 +27,17 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b): the smallest node it is connected with.
 
-    Each round is stored; rounds grow with the logarithm of the longest path.  A node with very many neighbours is
+    ``edges`` are counted first (store them if they are costly).  Each round is stored; rounds grow with the logarithm of the longest path.  A node with very many neighbours is
     a key of joins and partial aggregates only, never a group in one task.
     """
     pairs = stored(edges.filter(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges", rows=edges.count())
+    before, n = None, pairs.count()
     while True:
-        pairs = stored(_star(_star(pairs, large=True), large=False), "stars")
+        pairs = stored(_star(_star(pairs, large=True), large=False), "stars", rows=n)
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, n = state, state[0]
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -193,9 +193,9 @@ def maybe_held(refs: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
 
 # -- decisions --------------------------------------------------------------------------------------------------
 
-def losses(refs: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(doc_id, keys): the keys whose lines each document loses."""
-    frequent = stored(counts.filter(F.col("n_docs") >= min_docs), "frequent")
+def losses(refs: DataFrame, counts: DataFrame, min_docs: int = MIN_DOCS, rows: int | None = None) -> DataFrame:
+    """(doc_id, keys): the keys whose lines each document loses.  ``rows``, if known, is the number of references."""
+    frequent = stored(counts.filter(F.col("n_docs") >= min_docs), "frequent", rows=rows and rows // min_docs)
     shards = max(1, -(-frequent.count() // SHARD_KEYS))
     maybe = maybe_held(refs, shard_filters(frequent, shards), shards)
     lost = maybe.alias("r").join(frequent.alias("f"), F.col("r.key") == F.col("f.key")).filter(
@@ -238,7 +238,7 @@ def dedup(docs: DataFrame, *, min_chars: int = MIN_CHARS, min_docs: int = MIN_DO
     Returns what :func:`strip` does.
     """
     refs = stored(references(docs, min_chars), "references")
-    return strip(docs, losses(refs, reference_counts(refs), min_docs), min_chars)
+    return strip(docs, losses(refs, reference_counts(refs), min_docs, refs.count()), min_chars)
 
 
 def cleaned(docs: DataFrame, **options) -> DataFrame:

@@ -70,7 +70,7 @@ def mix(docs: DataFrame, *, max_epochs: float = 3.0, weights: tuple[int, ...] =
     spread = rows.filter(F.col("doc_id").isNotNull()).withColumn("_rank", F.lit(0).cast("long")).unionByName(nameless)
     bucket = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "_text", "_rank")).otherwise(F.xxhash64(F.lit(seed), F.col("doc_id")))
     sized = stored(spread.withColumn("_bucket", F.pmod(bucket, F.lit(BUCKETS)).cast("int")).drop("_text", "_rank"), "sized")
-    buckets = stored(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "buckets")
+    buckets = stored(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "buckets", rows=sized.count())
     sizes = buckets.groupBy("source").agg(F.sum("words").alias("source_size"))
     sources = stored(cyclic_weights(sizes, weights), "sources")
     budget = sources.agg(F.sum("source_size")).first()[0] or 0
@@ -90,7 +90,7 @@ def mix(docs: DataFrame, *, max_epochs: float = 3.0, weights: tuple[int, ...] =
     cuts = cuts.select("source", "whole", "target", "source_size",
                        F.when(F.col("best.miss") < F.col("want"), F.col("best._bucket")).otherwise(-1).alias("cut"))
     copies = (F.col("whole") + F.when(F.col("_bucket") <= F.col("cut"), 1).otherwise(0)).cast("long")
-    return sized.alias("d").join(stored(cuts, "cuts").alias("c"), F.col("d.source").eqNullSafe(F.col("c.source"))).select(
+    return sized.alias("d").join(stored(cuts, "cuts", rows=plan.count()).alias("c"), F.col("d.source").eqNullSafe(F.col("c.source"))).select(
         "d.doc_id", *(["d.row"] if carry else []), "d.source", "d.size", "c.source_size", "c.target",
         copies.alias("copies"), (F.col("d.size") * copies).alias("taken"))
 

@@ -32,12 +32,14 @@ from pyspark.sql import types as T
 
 from . import words as W
 from .components import components
-from .shared import chunks, input_partitions, rows_of, stored, table
+from .shared import chunks, files_for, input_partitions, rows_of, stored, table
 
 #: Counters of the hashed table of shingle counts: its size is fixed, so it may be collected and sent to all tasks.
 COUNTERS = 1 << 18
 #: Bits of a document's bitmap.
 BITS = 512
+#: Pairs that a task verifies at least, if it comes to few: their whole shingle sets go along.
+TASK_PAIRS = 256
 #: Rows of a posting list that one tile holds.
 TILE = 4096
 
@@ -108,7 +110,8 @@ def signatures(docs: DataFrame, k: int, share: tuple[int, int]) -> DataFrame:
 
 def sets_of(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """(rep, hashes): the sorted shingle sets, as 64-bit integers, of all documents in the stored ``pairs``."""
-    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids")
+    ids = stored(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "ids",
+                 rows=2 * pairs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
@@ -138,7 +141,8 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, share: tuple[int, int])
                 links.append(den * both >= num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").coalesce(files_for(pairs.count(), TASK_PAIRS))
+    return met.mapInArrow(run, "a long, b long")
 
 
 def passing(pairs: DataFrame, sizes: DataFrame, share: tuple[int, int]) -> DataFrame:
@@ -229,9 +233,9 @@ def join(docs: DataFrame, *, k: int = 5, share: tuple[int, int] = (80, 100)) ->
         raise ValueError("shares up to 1/2 are not supported: bitmaps are compared over one doubling of size")
     signed = stored(signatures(docs, k, share), "signatures")
     full = signed.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = stored(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stored(full.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "classes", rows=signed.count())
     members = stored(full.join(classes, ["f1", "f2", "n"]).filter(F.col("doc_id") == F.col("rep")).select(
-        "rep", "n", "prefix", "bits", "wide"), "members")
+        "rep", "n", "prefix", "bits", "wide"), "members", rows=classes.count())
     sizes = members.select("rep", "n", "wide")
 
     # A list has a row per class at most and a class is on dozens of lists, so no list holds more than a small share.
@@ -240,14 +244,15 @@ def join(docs: DataFrame, *, k: int = 5, share: tuple[int, int] = (80, 100)) ->
     postings = stored(lists.join(shared, "token").select("token", "rep", "n", "leader"), "postings")
 
     stars = postings.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    near = stored(passing(stars, sizes, share), "near")
+    near = stored(passing(stars, sizes, share), "near", rows=postings.count())
     first_links = stored(verified(near, docs, k, share), "links")
-    first = stored(components(first_links).withColumnRenamed("node", "rep"), "first")
+    first = stored(components(first_links).withColumnRenamed("node", "rep"), "first", rows=2 * first_links.count())
 
     split = postings.join(first, "rep", "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component"))
     open_lists = split.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("token")
     again = split.join(open_lists, "token", "left_semi").join(members.select("rep", "bits"), "rep")
-    candidates = stored(passing(stored(tiled_pairs(again, share), "tiled"), sizes, share), "candidates")
+    tiled = stored(tiled_pairs(again, share), "tiled")
+    candidates = stored(passing(tiled, sizes, share), "candidates", rows=tiled.count())
     links = stored(verified(candidates, docs, k, share), "links")
     found = components(first_links.unionByName(links))
 

@@ -203,13 +203,18 @@ def verdicts(measured: DataFrame, fences: DataFrame, groups: tuple[str, ...] = (
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns as they were.  Texts are measured twice and never shuffled."""
-    fences = stored(thresholds(stored(sketches(measure(docs, ["lang", "source"])), "sketch")), "fences")
-    carried = docs.select("text", "lang", "source", F.struct("*").alias("row"))
-    return verdicts(measure(carried, ["lang", "source", "row"]), fences).filter("kept").select("row.*")
+    sketch = stored(sketches(measure(docs, ["lang", "source"])), "sketch")
+    fences = stored(thresholds(sketch), "fences", rows=sketch.count() // len(SLACK))
+    # The text crosses to Python and back once, beside the other columns.
+    others = [c for c in docs.columns if c != "text"]
+    carried = docs.select("text", "lang", "source", F.struct(*others).alias("row"))
+    kept = verdicts(measure(carried, ["text", "lang", "source", "row"]), fences).filter("kept")
+    return kept.select(*["text" if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):
     measured = stored(measure(table(spark, sf_dir, "documents"), ["doc_id", "lang", "source"]), "measured")
-    fences = stored(thresholds(stored(sketches(measured), "sketch")), "fences")
+    sketch = stored(sketches(measured), "sketch")
+    fences = stored(thresholds(sketch), "fences", rows=sketch.count() // len(SLACK))
     return verdicts(measured, fences).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                              "n_repeat_words", "base_failed", "kept")
