@@ -59,6 +59,16 @@ def test_members_of_a_hot_group(spark):
     assert texts[None].members == "x" and texts["1"].members.split(", ") == sorted(texts["1"].members.split(", "))
 
 
+def test_member_texts_are_whole(spark):
+    """A group of any number of members has its text, in order, also where a run of members ends; names may repeat the separator."""
+    hot = [f"m{i:06d}, jr" if i % 7 else f"m{i:06d}" for i in range(12_001)]
+    rows = [("hot", m) for m in hot] + [("1", "b"), ("1", "a"), ("1", "b"), (None, ""), (None, "x"), ("only null", None)]
+    df = spark.createDataFrame(rows, "g string, m string").repartition(5)
+    want = {("hot", ", ".join(hot), 12_001), ("1", "a, b", 2), (None, ", x", 2)}
+    assert {tuple(r) for r in R.member_texts(df, ["g"], "m").select("g", "members", "n_members").collect()} == want
+    assert {tuple(r) for r in R.member_texts(df, ["g"], "m", run=3).select("g", "members", "n_members").collect()} == want
+
+
 def test_label_codes(spark):
     rows = [(i, v) for i, v in enumerate(["b", "a", None, "c", "a", "é", "Z", None])]
     df = spark.createDataFrame(rows, "i long, v string").repartition(3)

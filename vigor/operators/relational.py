@@ -226,15 +226,25 @@ def members(df: DataFrame, keys: list[str], member: str) -> DataFrame:
         .select(*keys, "member_no", member, "n_members")
 
 
-def member_texts(df: DataFrame, keys: list[str], member: str, separator: str = ", ", most: int = 10_000) -> DataFrame:
+def member_texts(df: DataFrame, keys: list[str], member: str, separator: str = ", ", most: int | None = None, run: int = 1000) -> DataFrame:
     """(keys, members, n_members): the sorted members of a group as one text (AGG-11).
 
-    Groups of more than ``most`` members have their number and no text; :func:`members` has their rows.
+    Every group has its text, however many members it has: runs of ``run`` numbered members are joined first, each in a task of its own,
+    then a group's runs, so that a task holds the text and a row a run of it, not a row a member.  With ``most``, larger
+    groups have their number and no text; :func:`members` has their rows.
     """
-    rows = members(df, keys, member).withColumn("__m", F.when(F.col("n_members") <= most, F.struct("member_no", F.col(member).alias("m"))))
-    texts = F.array_join(F.transform(F.sort_array(F.collect_list("__m")), lambda x: x["m"]), separator)
-    out = rows.groupBy(*keys).agg(texts.alias("members"), F.max("n_members").alias("n_members"))
-    return out.withColumn("members", F.when(F.col("n_members") <= most, F.col("members")))
+    def joined(column: str) -> Column:
+        return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__at", F.col(column).alias("m")))), lambda x: x["m"]), separator)
+
+    rows = members(df, keys, member)
+    wanted = rows if most is None else rows.filter(F.col("n_members") <= most)
+    runs = wanted.withColumn("__run", F.floor((F.col("member_no") - 1) / run)).withColumn("__at", F.col("member_no"))
+    runs = runs.groupBy(*keys, "__run", "n_members").agg(joined(member).alias("__text")).withColumn("__at", F.col("__run"))
+    out = runs.groupBy(*keys).agg(joined("__text").alias("members"), F.max("n_members").alias("n_members"))
+    if most is None:
+        return out
+    larger = rows.filter(F.col("n_members") > most).groupBy(*keys).agg(F.max("n_members").alias("n_members"))
+    return out.unionByName(larger.select(*keys, F.lit(None).cast("string").alias("members"), "n_members"))
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
