@@ -1,11 +1,14 @@
 """The random forest over rows that never meet in one place, against plain recursion."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from vigor.operators import forest
 from vigor.operators import ml as M
+from vigor.session import ensure_checkpoint_dir
 
 
 def _rows(spark, n=3000):
@@ -60,6 +63,18 @@ def test_scores_do_not_depend_on_where_branches_grow(spark):
     assert _scores(df, seed=43) != whole
 
 
+def test_scores_do_not_depend_on_trees_at_once(spark, monkeypatch):
+    """Few trees at a time: the rows that a shuffle holds are bounded, the scores are the same."""
+    df, sent, shares = _rows(spark), [], forest.shares
+    whole = _scores(df, num_trees=7)
+    monkeypatch.setattr(forest, "shares", lambda *a: (sent.append(a[-1]), shares(*a))[1])
+    monkeypatch.setattr(M, "FOREST_BYTES", 3 * forest.tree_bytes(3, 2400, 600))
+    assert _scores(df, num_trees=7) == whole
+    assert sent == [range(0, 3), range(3, 6), range(6, 7)]
+    folder = f"{ensure_checkpoint_dir(spark)}/vigor-tables".removeprefix("file:")
+    assert not [d for d in os.listdir(folder) if d.startswith(("forest-", "forest_sums-"))]
+
+
 def test_forest_learns_and_balances(spark):
     df = _rows(spark)
     p = _scores(df, num_trees=20)
